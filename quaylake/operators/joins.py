@@ -1,0 +1,29 @@
+"""Join helpers: a broadcast that is taken only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be shipped whole to every task.
+BROADCAST_ROW_LIMIT = 500_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """True when `df` has at most `max_rows` rows.
+
+    Counts by taking at most max_rows + 1 one-column rows: Spark scans
+    partitions incrementally and stops as soon as the bound is passed, so a
+    large table costs a few tasks, never a full scan.
+    """
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Mark `df` for broadcast when it is proven small; else leave it to Spark.
+
+    Beyond the bound the join stays a shuffle join, which AQE may still turn
+    into a broadcast from the real shuffle size, and whose skewed partitions
+    AQE splits.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
