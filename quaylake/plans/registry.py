@@ -112,3 +112,203 @@ def _order_lead_time(spark, sf_dir):
 @query("top_supplier_sales")
 def _top_supplier_sales(spark, sf_dir):
     return gold.top_supplier_sales(gold.sales_by_supplier_daily(_silver(spark, sf_dir), RUN_TS))
+
+
+# --- silver: quality, de-duplication, dimensions -----------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators.dedup import keep_one  # noqa: E402
+from ..operators.merge import scd2, upsert  # noqa: E402
+from ..sources import driver  # noqa: E402
+
+# A first load ran at LOAD_TS and saw everything before LOAD_CUTOFF; the
+# second load at RUN_TS reads what changed since (with an overlap window for
+# the order feed, whose late lines arrive up to half a year after).
+LOAD_CUTOFF = "1998-01-01"
+LOAD_TS = "1998-01-01 00:00:00"
+OVERLAP_FROM = "1997-07-01"
+
+
+def _flagged(spark, sf_dir):
+    return silver.flag_orders(driver.order_lines(spark, sf_dir))
+
+
+@query("order_quality_flags")
+def _order_quality_flags(spark, sf_dir):
+    return _flagged(spark, sf_dir)
+
+
+@query("order_valid")
+def _order_valid(spark, sf_dir):
+    return silver.valid_orders(_flagged(spark, sf_dir))
+
+
+@query("order_rejects")
+def _order_rejects(spark, sf_dir):
+    return silver.rejected_orders(_flagged(spark, sf_dir))
+
+
+@query("dedup_orders")
+def _dedup_orders(spark, sf_dir):
+    return silver.fact_sales_order(silver.valid_orders(_flagged(spark, sf_dir)))
+
+
+@query("dedup_inventory")
+def _dedup_inventory(spark, sf_dir):
+    return silver.fact_inventory(driver.inventory_movements(spark, sf_dir))
+
+
+@query("dedup_shipments")
+def _dedup_shipments(spark, sf_dir):
+    return silver.fact_shipments(driver.shipment_events(spark, sf_dir))
+
+
+@query("dedup_customers")
+def _dedup_customers(spark, sf_dir):
+    return keep_one(driver.customer_changes(spark, sf_dir), ["CustomerID"], ["UpdatedAt DESC"])
+
+
+@query("dedup_suppliers")
+def _dedup_suppliers(spark, sf_dir):
+    return keep_one(driver.supplier_changes(spark, sf_dir), ["SupplierID"], ["UpdatedAt DESC"])
+
+
+@query("dedup_warehouses")
+def _dedup_warehouses(spark, sf_dir):
+    return keep_one(driver.warehouse_changes(spark, sf_dir), ["WarehouseID"], ["UpdatedAt DESC"])
+
+
+@query("dim_customer")
+def _dim_customer(spark, sf_dir):
+    return silver.transform_customer(driver.customer_changes(spark, sf_dir), RUN_TS)
+
+
+@query("dim_product")
+def _dim_product(spark, sf_dir):
+    return silver.transform_product(driver.source_product(spark, sf_dir), RUN_TS)
+
+
+@query("dim_supplier")
+def _dim_supplier(spark, sf_dir):
+    return silver.transform_supplier(driver.supplier_changes(spark, sf_dir), RUN_TS)
+
+
+@query("dim_warehouse")
+def _dim_warehouse(spark, sf_dir):
+    return silver.transform_warehouse(driver.warehouse_changes(spark, sf_dir), RUN_TS)
+
+
+# --- upserts -------------------------------------------------------------------
+
+def _since(df, col, start):
+    return df.where(F.col(col) >= F.lit(start).cast(df.schema[col].dataType))
+
+
+def _before(df, col, end):
+    return df.where(F.col(col) < F.lit(end).cast(df.schema[col].dataType))
+
+
+@query("upsert_one_key")
+def _upsert_one_key(spark, sf_dir):
+    """Bronze customer copy: state after the first load, upserted with the
+    records touched since."""
+    target = driver.customer_snapshot(spark, sf_dir, LOAD_CUTOFF).drop("order_count")
+    changes = _since(driver.customer_snapshot(spark, sf_dir).drop("order_count"),
+                     "UpdatedAt", LOAD_CUTOFF)
+    return upsert(target, changes, ["CustomerID"])
+
+
+@query("upsert_order_keys")
+def _upsert_order_keys(spark, sf_dir):
+    """Order fact: first load had no tax figures yet; the second load
+    re-reads the overlap window with taxes and adds the new days."""
+    fact = silver.fact_sales_order(silver.valid_orders(_flagged(spark, sf_dir)))
+    target = _before(fact, "createddate", LOAD_CUTOFF).withColumn(
+        "taxamount", F.lit(0).cast("decimal(7,4)"))
+    source = _since(fact, "createddate", OVERLAP_FROM)
+    return upsert(target, source, silver.ORDER_KEYS)
+
+
+@query("upsert_inventory_keys")
+def _upsert_inventory_keys(spark, sf_dir):
+    """Stock table after the first load, upserted with later movements."""
+    moves = driver.inventory_movements(spark, sf_dir)
+    target = silver.fact_inventory(_before(moves, "last_updated", LOAD_CUTOFF))
+    source = silver.fact_inventory(_since(moves, "last_updated", LOAD_CUTOFF))
+    return upsert(target, source, silver.INVENTORY_KEYS)
+
+
+SUMMARY_KEYS = ["customer_name", "product_name", "supplier_name", "warehouse_name", "sale_date"]
+SUMMARY_MEASURES = ["total_quantity_sold", "total_sales_amount", "total_tax_collected"]
+
+
+@query("upsert_partial")
+def _upsert_partial(spark, sf_dir):
+    """Sales summary of the first load, refreshed by the second (measures
+    only; NULL-safe keys so re-runs do not repeat NULL groups)."""
+    s = _silver(spark, sf_dir)
+    earlier = silver.Silver(**{**s.tables(), "fact_sales_order": _before(
+        s.fact_sales_order, "createddate", LOAD_CUTOFF)})
+    return upsert(gold.sales_summary(earlier), gold.sales_summary(s), SUMMARY_KEYS,
+                  update_cols=SUMMARY_MEASURES, null_safe_keys=True)
+
+
+def deliveries_per_day(shipments, run_ts):
+    return (shipments.groupBy("supplier_id", "actual_delivery_date")
+            .agg(F.count(F.lit(1)).alias("deliveries"))
+            .withColumn("last_updated", silver.ts_literal(run_ts)))
+
+
+@query("upsert_null_keys")
+def _upsert_null_keys(spark, sf_dir):
+    """Deliveries per supplier and day, merged with MERGE's NULL rule: the
+    undelivered group (NULL day) never matches, so it is inserted again."""
+    ships = driver.shipment_events(spark, sf_dir)
+    target = deliveries_per_day(_before(ships, "shipment_date", LOAD_CUTOFF), LOAD_TS)
+    source = deliveries_per_day(ships, RUN_TS)
+    return upsert(target, source, ["supplier_id", "actual_delivery_date"])
+
+
+# --- SCD2 ----------------------------------------------------------------------
+
+def _customer_dim_as_of(spark, sf_dir, run_ts, before=None, since=None):
+    snap = driver.customer_snapshot(spark, sf_dir, before)
+    if since is not None:
+        snap = _since(snap, "UpdatedAt", since)
+    return silver.transform_customer(snap, run_ts, loyalty=driver.loyalty_tier(F.col("order_count")))
+
+
+@query("scd2_customer")
+def _scd2_customer(spark, sf_dir):
+    """Customer dimension after the first load, then the second load's
+    changes (loyalty tier moves with the order count) as new versions."""
+    target = _customer_dim_as_of(spark, sf_dir, LOAD_TS, before=LOAD_CUTOFF)
+    source = _customer_dim_as_of(spark, sf_dir, RUN_TS, since=LOAD_CUTOFF)
+    return scd2(target, source, "customer_id", silver.CUSTOMER_COMPARE, RUN_TS)
+
+
+@query("scd2_supplier")
+def _scd2_supplier(spark, sf_dir):
+    """Supplier dimension, first load then the suppliers active since."""
+    stamp = ["created_at", "updated_at"]
+    target = silver.first_load(silver.transform_supplier(
+        driver.supplier_snapshot(spark, sf_dir, LOAD_CUTOFF), LOAD_TS), LOAD_TS, stamp)
+    source = silver.transform_supplier(
+        _since(driver.supplier_snapshot(spark, sf_dir), "UpdatedAt", LOAD_CUTOFF), RUN_TS)
+    return scd2(target, source, "supplier_id", silver.SUPPLIER_COMPARE, RUN_TS)
+
+
+@query("customer_versions")
+def _customer_versions(spark, sf_dir):
+    """Point lookup of one customer's versions by its id given as text (the
+    id compared to the INT key is cast implicitly).  The id looked up is the
+    customer with the most orders."""
+    dim = QUERIES["scd2_customer"](spark, sf_dir)
+    busiest = (driver.table(spark, sf_dir, "orders").groupBy("o_custkey")
+               .agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.col("n").desc(), F.col("o_custkey").asc()).limit(1).first())
+    wanted = str(busiest["o_custkey"])
+    return dim.where(F.col("customer_id") == F.lit(wanted)).select(
+        "customer_name", "region", "country", "loyalty_status", "start_date", "end_date",
+        "is_current")

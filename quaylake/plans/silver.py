@@ -21,6 +21,10 @@ from .. import schemas
 from ..functions import quality
 from ..operators.dedup import keep_one
 
+CUSTOMER_COMPARE = ["customer_name", "email", "phone", "region", "country",
+                    "customer_type", "loyalty_status"]
+SUPPLIER_COMPARE = ["supplier_name", "contact_name", "email", "phone", "address", "city",
+                    "state", "country", "postal_code", "business_category"]
 ORDER_KEYS = ["createddate", "customer_id", "product_id"]
 ORDER_PICK = ["processeddate ASC"]
 INVENTORY_KEYS = ["product_id", "warehouse_id"]
@@ -114,8 +118,11 @@ def fact_shipments(raw: DataFrame) -> DataFrame:
 
 # --- dimensions ---------------------------------------------------------------
 
-def transform_customer(src: DataFrame, run_ts) -> DataFrame:
-    """Source customer rows -> dim_customer rows (latest per customer)."""
+def transform_customer(src: DataFrame, run_ts, loyalty: Column | None = None) -> DataFrame:
+    """Source customer rows -> dim_customer rows (latest per customer).
+
+    Loyalty is 'Bronze' unless a `loyalty` expression over the source row is
+    given."""
     latest = keep_one(src, ["CustomerID"], ["UpdatedAt DESC"])
     now = ts_literal(run_ts)
     return latest.select(
@@ -126,7 +133,7 @@ def transform_customer(src: DataFrame, run_ts) -> DataFrame:
         F.col("City").alias("region"),
         F.col("CountryRegion").alias("country"),
         F.col("CompanyName").alias("customer_type"),
-        F.lit("Bronze").alias("loyalty_status"),
+        (F.lit("Bronze") if loyalty is None else loyalty).alias("loyalty_status"),
         now.alias("start_date"),
         F.lit(None).cast("timestamp").alias("end_date"),
         F.lit(True).alias("is_current"),

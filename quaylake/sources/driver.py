@@ -203,3 +203,84 @@ def shipment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,2)").alias("shipping_cost"),
         F.col("l_linestatus").alias("delivery_location"),
     )
+
+
+# --- change logs and snapshots (incremental loads) ---------------------------
+#
+# A source record is touched whenever the business acts on it: a customer
+# record by each of its orders, a supplier and a warehouse by each shipped
+# line.  The change logs below carry one bronze row per touch with
+# UpdatedAt = the touch time, so a load that keeps the latest row per key
+# sees real duplicates, and a snapshot "as of T" is just the touches before T.
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bronze customer row per order of the customer."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    base = source_customer(spark, sf_dir).drop("UpdatedAt")
+    return base.join(o, base.CustomerID == o.o_custkey.cast("int")).select(
+        *[c for c in base.columns], F.col("o_orderdate").cast("timestamp").alias("UpdatedAt"))
+
+
+def supplier_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bronze supplier row per shipped line of the supplier."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
+    base = source_supplier(spark, sf_dir).drop("UpdatedAt")
+    return base.join(li, base.SupplierID == li.l_suppkey.cast("string")).select(
+        *[c for c in base.columns], F.col("l_shipdate").cast("timestamp").alias("UpdatedAt"))
+
+
+def warehouse_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bronze warehouse row per line shipped from it (25 hot keys)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_partkey") % WAREHOUSE_COUNT).cast("string").alias("wh"), "l_shipdate")
+    base = source_warehouse(spark, sf_dir).drop("UpdatedAt")
+    return base.join(li, base.WarehouseID == li.wh).select(
+        *[c for c in base.columns], F.col("l_shipdate").cast("timestamp").alias("UpdatedAt"))
+
+
+def inventory_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stock record per shipped line of the product (the inventory feed
+    over time); the latest per product and warehouse is the current stock."""
+    p = table(spark, sf_dir, "part")
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate")
+    snap = inventory_snapshots(spark, sf_dir).drop("last_movement_date", "last_updated")
+    moved = F.col("l_shipdate").cast("timestamp")
+    return snap.join(li, snap.product_id == li.l_partkey.cast("string")).select(
+        *snap.columns,
+        moved.cast("date").cast("string").alias("last_movement_date"),
+        moved.alias("last_updated"),
+    )
+
+
+def loyalty_tier(orders: Column) -> Column:
+    return F.when(orders >= 12, "Gold").when(orders >= 6, "Silver").otherwise("Bronze")
+
+
+def customer_snapshot(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """Bronze customers as of `before`: those with an order before it, with
+    CreatedAt / UpdatedAt = first / last such order and their order count."""
+    changes = customer_changes(spark, sf_dir)
+    if before is not None:
+        changes = changes.where(F.col("UpdatedAt") < F.lit(before).cast("timestamp"))
+    static = [c for c in changes.columns if c not in ("CreatedAt", "UpdatedAt")]
+    return changes.groupBy(*static).agg(
+        F.min("UpdatedAt").alias("CreatedAt"),
+        F.max("UpdatedAt").alias("UpdatedAt"),
+        F.count(F.lit(1)).alias("order_count"),
+    )
+
+
+def supplier_snapshot(spark: SparkSession, sf_dir: str, before: str | None = None,
+                      large_from: int = 300) -> DataFrame:
+    """Bronze suppliers as of `before`; BusinessCategory is 'Large' once the
+    supplier has shipped `large_from` lines, else 'Small'."""
+    changes = supplier_changes(spark, sf_dir)
+    if before is not None:
+        changes = changes.where(F.col("UpdatedAt") < F.lit(before).cast("timestamp"))
+    static = [c for c in changes.columns
+              if c not in ("CreatedAt", "UpdatedAt", "BusinessCategory")]
+    return changes.groupBy(*static).agg(
+        F.min("UpdatedAt").alias("CreatedAt"),
+        F.max("UpdatedAt").alias("UpdatedAt"),
+        F.when(F.count(F.lit(1)) >= large_from, "Large").otherwise("Small").alias("BusinessCategory"),
+    )
