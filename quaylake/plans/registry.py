@@ -312,3 +312,206 @@ def _customer_versions(spark, sf_dir):
     return dim.where(F.col("customer_id") == F.lit(wanted)).select(
         "customer_name", "region", "country", "loyalty_status", "start_date", "end_date",
         "is_current")
+
+
+# --- files -------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from .. import schemas  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks.writers import Lakehouse  # noqa: E402
+from ..sources import files, incremental  # noqa: E402
+
+
+def _workdir(spark, name):
+    return scratch_path(spark, "queries", f"{name}-{uuid.uuid4().hex}")
+
+
+# Known feed defect used to exercise the corrupt-row path on whole tables:
+# urgent orders are keyed in by hand and their quantity arrives as text.
+HAND_KEYED = "1-URGENT"
+
+
+@query("csv_corrupt_filter")
+def _csv_corrupt_filter(spark, sf_dir):
+    """Order feed written as CSV (hand-keyed urgent lines carry a text
+    quantity), read back with the declared schema; corrupt rows dropped."""
+    folder = _workdir(spark, "orders-csv")
+    lines = driver.order_lines(spark, sf_dir)
+    quantity = F.when(F.col("ordertype") == HAND_KEYED,
+                      F.concat(F.col("quantity").cast("string"), F.lit(" pcs"))
+                      ).otherwise(F.col("quantity").cast("string"))
+    lines.withColumn("quantity", quantity).write.option("header", True).csv(folder)
+    return files.read_order_csv(spark, folder)
+
+
+@query("json_multiline")
+def _json_multiline(spark, sf_dir):
+    """Inventory feed as pretty-printed JSON arrays, read back."""
+    folder = _workdir(spark, "inventory-json")
+    files.write_drops(driver.inventory_snapshots(spark, sf_dir), folder, "inventory",
+                      "json", "array", archive=False).count()
+    return files.read_json_documents(spark, folder, schemas.INVENTORY_JSON)
+
+
+@query("json_lines")
+def _json_lines(spark, sf_dir):
+    """Shipment feed as JSON Lines files, read back."""
+    folder = _workdir(spark, "shipment-json")
+    files.write_drops(driver.shipment_events(spark, sf_dir), folder, "shipment",
+                      "json", "lines", archive=False).count()
+    return files.read_json_documents(spark, folder, schemas.SHIPMENT_JSON)
+
+
+def _drops(spark, sf_dir):
+    folder = _workdir(spark, "drops")
+    files.write_drops(driver.order_lines(spark, sf_dir), folder, "sales_orders", "csv").count()
+    files.write_drops(driver.inventory_snapshots(spark, sf_dir), folder, "inventory",
+                      "json", "array").count()
+    files.write_drops(driver.shipment_events(spark, sf_dir), folder, "shipment",
+                      "json", "lines").count()
+    # An older inventory feed without the sku_name field: fails its check.
+    old = driver.inventory_snapshots(spark, sf_dir).drop("sku_name")
+    files.write_drops(old, folder, "inventory_legacy", "json", "array").count()
+    return folder
+
+
+@query("zip_extract")
+def _zip_extract(spark, sf_dir):
+    """Order rows recovered from zip drops (members found by name, checked,
+    parsed line by line)."""
+    lines = files.extract_archives(spark, _drops(spark, sf_dir))
+    accepted = lines.where((F.col("kind") == "sales_orders") & (F.col("status") == files.VALID))
+    return files.parse_orders_lines(accepted)
+
+
+@query("schema_check")
+def _schema_check(spark, sf_dir):
+    """One verdict per archive member (kind, format, layout, status, reason)."""
+    return files.member_verdicts(files.extract_archives(spark, _drops(spark, sf_dir)))
+
+
+# --- writers -------------------------------------------------------------------
+
+@query("daily_reload")
+def _daily_reload(spark, sf_dir):
+    """Overstock report reloaded for two days, the second day twice: the
+    table keeps one copy per day."""
+    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    name = "gold.inventory_overstock_inactive"
+    lake.create_table(name, schemas.OVERSTOCK_INACTIVE)
+    s = _silver(spark, sf_dir)
+    for day in (IDLE_RUN_DATE, SECOND_IDLE_RUN_DATE, SECOND_IDLE_RUN_DATE):
+        lake.reload_day(name, gold.overstock_inactive(s, day), day)
+    return lake.table(name)
+
+
+SECOND_IDLE_RUN_DATE = "2001-12-15"
+EARLIER_RUN_DATE = "1998-06-01"
+
+
+@query("rebuild_table")
+def _rebuild_table(spark, sf_dir):
+    """Shipping performance rebuilt twice (create or replace)."""
+    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    s = _silver(spark, sf_dir)
+    for _ in range(2):
+        lake.rebuild("gold.fact_shipping_performance", gold.shipping_performance(s))
+    return lake.table("gold.fact_shipping_performance")
+
+
+@query("publish_upsert")
+def _publish_upsert(spark, sf_dir):
+    """Order fact published to the mart by key, first and second load."""
+    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    name = "mart.fact_sales_order"
+    lake.create_table(name, schemas.FACT_SALES_ORDER)
+    fact = silver.fact_sales_order(silver.valid_orders(_flagged(spark, sf_dir)))
+    first = _before(fact, "createddate", LOAD_CUTOFF).withColumn(
+        "taxamount", F.lit(0).cast("decimal(7,4)"))
+    lake.publish_upsert(name, first, silver.ORDER_KEYS)
+    lake.publish_upsert(name, _since(fact, "createddate", OVERLAP_FROM), silver.ORDER_KEYS)
+    return lake.table(name)
+
+
+@query("publish_snapshot")
+def _publish_snapshot(spark, sf_dir):
+    """Late-delivery report published for two days; the mart keeps the latest."""
+    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    s = _silver(spark, sf_dir)
+    for day in (EARLIER_RUN_DATE, RUN_DATE):
+        lake.publish_snapshot("mart.late_deliveries_daily", gold.late_deliveries(s, day))
+    return lake.table("mart.late_deliveries_daily")
+
+
+# --- incremental source, audit, stream -------------------------------------------
+
+FIRST_EVENT_LOAD = "2024-01-15"
+
+
+@query("incremental_events")
+def _incremental_events(spark, sf_dir):
+    """Events changed after the bookmark a first load (up to FIRST_EVENT_LOAD)
+    left; the filter is pushed into the scan."""
+    events = driver.table(spark, sf_dir, "events")
+    marks = incremental.Bookmarks(spark, _workdir(spark, "bookmarks"))
+    first = _before(events, "ts", FIRST_EVENT_LOAD)
+    marks.advance("events", first, "ts", RUN_TS)
+    return incremental.above_mark(events, "ts", marks.get("events"))
+
+
+AUDIT_GOLD = [
+    "fact_sales_summary", "fact_sales_summary_by_country",
+    "fact_sales_summary_by_supplier_daily", "fact_sales_summary_by_supplier_monthly",
+    "fact_supply_chain_summary", "high_shipping_orders", "inventory_overstock_inactive",
+    "late_deliveries_daily", "order_stock_shortage", "sales_order_lead_time",
+    "supplier_delivery_performance",
+]
+
+
+def gold_tables(s, run_date=RUN_DATE, run_ts=RUN_TS, idle_run_date=IDLE_RUN_DATE):
+    return {
+        "fact_sales_summary": gold.sales_summary(s),
+        "fact_sales_summary_by_country": gold.sales_by_country(s, run_ts),
+        "fact_sales_summary_by_supplier_daily": gold.sales_by_supplier_daily(s, run_ts),
+        "fact_sales_summary_by_supplier_monthly": gold.sales_by_supplier_monthly(s, run_ts),
+        "fact_supply_chain_summary": gold.supply_chain_summary(s),
+        "fact_shipping_performance": gold.shipping_performance(s),
+        "aggregated_inventory_levels": gold.inventory_levels(s),
+        "high_shipping_orders": gold.high_shipping_orders(s, run_date),
+        "inventory_overstock_inactive": gold.overstock_inactive(s, idle_run_date),
+        "late_deliveries_daily": gold.late_deliveries(s, run_date),
+        "order_stock_shortage": gold.order_stock_shortage(s, run_date),
+        "sales_order_lead_time": gold.order_lead_time(s, run_date),
+        "supplier_delivery_performance": gold.supplier_delivery_performance(s, run_date),
+        "upcoming_stock_shortage": gold.upcoming_stock_shortage(s, run_date),
+    }
+
+
+@query("row_count_audit")
+def _row_count_audit(spark, sf_dir):
+    """Row counts of the 7 silver and 11 audited gold tables."""
+    s = _silver(spark, sf_dir)
+    g = gold_tables(s)
+    tables = {f"silver.{n}": df for n, df in sorted(s.tables().items())}
+    tables.update({f"gold.{n}": g[n] for n in AUDIT_GOLD})
+    return gold.row_count_audit(tables)
+
+
+@query("stream_upsert")
+def _stream_upsert(spark, sf_dir):
+    """Two order drops arrive (first load, then an overlapping second load);
+    the stream is started after each and processes only the new files."""
+    from ..streaming.ingest import run_available
+
+    work = _workdir(spark, "stream")
+    lake = Lakehouse(spark, f"{work}/lake")
+    name = "silver.fact_sales_order"
+    lake.create_table(name, schemas.FACT_SALES_ORDER)
+    lines = driver.order_lines(spark, sf_dir)
+    drops = [_before(lines, "createddate", LOAD_CUTOFF), _since(lines, "createddate", OVERLAP_FROM)]
+    for i, drop in enumerate(drops):
+        drop.write.option("header", True).csv(f"{work}/landing/drop={i}")
+        run_available(spark, f"{work}/landing/drop=*", lake, name, f"{work}/checkpoint")
+    return lake.table(name)

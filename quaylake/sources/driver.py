@@ -201,6 +201,8 @@ def shipment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_add(ship, (F.col("l_quantity") % 14).cast("int"))).alias("actual_delivery_date"),
         F.col("l_quantity").cast("bigint").alias("quantity_shipped"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("shipping_cost"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), "In Transit")
+        .otherwise("Delivered").alias("delivery_status"),
         F.col("l_linestatus").alias("delivery_location"),
     )
 
