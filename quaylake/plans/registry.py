@@ -328,6 +328,12 @@ def _workdir(spark, name):
     return scratch_path(spark, "queries", f"{name}-{uuid.uuid4().hex}")
 
 
+def _lake(spark, name):
+    """A fresh lake (own folder, own catalog databases) for one query run."""
+    tag = uuid.uuid4().hex[:12]
+    return Lakehouse(spark, _workdir(spark, name), prefix=f"q{tag}_")
+
+
 # Known feed defect used to exercise the corrupt-row path on whole tables:
 # urgent orders are keyed in by hand and their quantity arrives as text.
 HAND_KEYED = "1-URGENT"
@@ -398,7 +404,7 @@ def _schema_check(spark, sf_dir):
 def _daily_reload(spark, sf_dir):
     """Overstock report reloaded for two days, the second day twice: the
     table keeps one copy per day."""
-    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    lake = _lake(spark, "lake")
     name = "gold.inventory_overstock_inactive"
     lake.create_table(name, schemas.OVERSTOCK_INACTIVE)
     s = _silver(spark, sf_dir)
@@ -414,7 +420,7 @@ EARLIER_RUN_DATE = "1998-06-01"
 @query("rebuild_table")
 def _rebuild_table(spark, sf_dir):
     """Shipping performance rebuilt twice (create or replace)."""
-    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    lake = _lake(spark, "lake")
     s = _silver(spark, sf_dir)
     for _ in range(2):
         lake.rebuild("gold.fact_shipping_performance", gold.shipping_performance(s))
@@ -424,7 +430,7 @@ def _rebuild_table(spark, sf_dir):
 @query("publish_upsert")
 def _publish_upsert(spark, sf_dir):
     """Order fact published to the mart by key, first and second load."""
-    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    lake = _lake(spark, "lake")
     name = "mart.fact_sales_order"
     lake.create_table(name, schemas.FACT_SALES_ORDER)
     fact = silver.fact_sales_order(silver.valid_orders(_flagged(spark, sf_dir)))
@@ -438,7 +444,7 @@ def _publish_upsert(spark, sf_dir):
 @query("publish_snapshot")
 def _publish_snapshot(spark, sf_dir):
     """Late-delivery report published for two days; the mart keeps the latest."""
-    lake = Lakehouse(spark, _workdir(spark, "lake"))
+    lake = _lake(spark, "lake")
     s = _silver(spark, sf_dir)
     for day in (EARLIER_RUN_DATE, RUN_DATE):
         lake.publish_snapshot("mart.late_deliveries_daily", gold.late_deliveries(s, day))
@@ -506,7 +512,7 @@ def _stream_upsert(spark, sf_dir):
     from ..streaming.ingest import run_available
 
     work = _workdir(spark, "stream")
-    lake = Lakehouse(spark, f"{work}/lake")
+    lake = Lakehouse(spark, f"{work}/lake", prefix=f"q{uuid.uuid4().hex[:12]}_")
     name = "silver.fact_sales_order"
     lake.create_table(name, schemas.FACT_SALES_ORDER)
     lines = driver.order_lines(spark, sf_dir)

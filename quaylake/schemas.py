@@ -143,6 +143,13 @@ SALES_BY_SUPPLIER_MONTHLY = (
     "total_sales_amount decimal(18,2), total_quantity_sold bigint, total_orders bigint, "
     "last_updated timestamp"
 )
+SUPPLY_CHAIN_SUMMARY = (
+    "salesordernumber string, createddate date, processeddate date, quantity int, "
+    "unitprice decimal(10,2), taxamount decimal(10,2), customer_id string, "
+    "customer_name string, product_id string, product_name string, supplier_id string, "
+    "supplier_name string, warehouse_id string, warehouse_name string, "
+    "current_stock_level int, shipment_date date, delivery_status string"
+)
 LATE_DELIVERIES = (
     "salesordernumber string, createddate date, expected_delivery_date date, "
     "actual_delivery_date date, delivery_status string, run_date date"
@@ -200,6 +207,7 @@ TABLES = {
     "gold.fact_sales_summary_by_country": SALES_BY_COUNTRY,
     "gold.fact_sales_summary_by_supplier_daily": SALES_BY_SUPPLIER_DAILY,
     "gold.fact_sales_summary_by_supplier_monthly": SALES_BY_SUPPLIER_MONTHLY,
+    "gold.fact_supply_chain_summary": SUPPLY_CHAIN_SUMMARY,
     "gold.late_deliveries_daily": LATE_DELIVERIES,
     "gold.inventory_overstock_inactive": OVERSTOCK_INACTIVE,
     "gold.high_shipping_orders": HIGH_SHIPPING_ORDERS,

@@ -44,16 +44,31 @@ MART_TABLES = {
 
 
 class Lakehouse:
-    """Catalog databases and tables below `root` (shared storage)."""
+    """Catalog databases and tables below `root` (shared storage).
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    Tables are named "db.table"; `prefix` is put in front of the database
+    name in the catalog so several lakes can live in one session (tests).
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
         self.spark = spark
         self.root = (root or scratch_path(spark, "lakehouse")).rstrip("/")
+        self.prefix = prefix
+
+    def qualified(self, name: str) -> str:
+        return f"{self.prefix}{name}"
+
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self.qualified(name))
+
+    def _create_db(self, db: str) -> None:
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {self.prefix}{db} LOCATION '{self.root}/{db}'")
 
     # --- DDL --------------------------------------------------------------
     def create_databases(self, names=DATABASES) -> None:
         for db in names:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root}/{db}'")
+            self._create_db(db)
 
     def path(self, name: str) -> str:
         db, table = name.split(".")
@@ -62,11 +77,11 @@ class Lakehouse:
     def create_table(self, name: str, ddl: str, partition_by: list[str] | None = None) -> None:
         """CREATE TABLE IF NOT EXISTS ... USING parquet [PARTITIONED BY]."""
         db, table = name.split(".")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root}/{db}'")
+        self._create_db(db)
         parts = partition_by if partition_by is not None else schemas.PARTITIONS.get(table, [])
         clause = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{clause} "
+            f"CREATE TABLE IF NOT EXISTS {self.qualified(name)} ({ddl}) USING parquet{clause} "
             f"LOCATION '{self.path(name)}'")
 
     def create_all(self) -> None:
@@ -75,13 +90,15 @@ class Lakehouse:
             self.create_table(name, ddl)
 
     def list_tables(self, db: str) -> list[str]:
-        return sorted(f"{db}.{t.name}" for t in self.spark.catalog.listTables(db))
+        return sorted(f"{db}.{t.name}"
+                      for t in self.spark.catalog.listTables(f"{self.prefix}{db}"))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+        return self.spark.table(self.qualified(name))
 
     def partition_columns(self, name: str) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
+        return [c.name for c in self.spark.catalog.listColumns(self.qualified(name))
+                if c.isPartition]
 
     # --- writes -----------------------------------------------------------
     def stage(self, df: DataFrame, label: str = "stage") -> DataFrame:
@@ -92,7 +109,7 @@ class Lakehouse:
 
     def _conform(self, name: str, df: DataFrame) -> DataFrame:
         # insertInto is positional: put columns in table order, cast to table types.
-        target = self.spark.table(name).schema
+        target = self.table(name).schema
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
     def _distribute(self, name: str, df: DataFrame) -> DataFrame:
@@ -108,12 +125,12 @@ class Lakehouse:
         mode = "dynamic" if self.partition_columns(name) else "static"
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
         try:
-            self._distribute(name, staged).write.insertInto(name, overwrite=True)
+            self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._conform(name, df).write.insertInto(name, overwrite=False)
+        self._conform(name, df).write.insertInto(self.qualified(name), overwrite=False)
 
     def reload_day(self, name: str, df: DataFrame, run_date: date | str,
                    column: str = "run_date") -> None:
@@ -121,24 +138,23 @@ class Lakehouse:
         rows = self._conform(name, df.withColumn(column, F.lit(str(run_date)).cast("date")))
         staged = self.stage(rows, name.replace(".", "_"))
         if staged.isEmpty():
-            self.spark.sql(
-                f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = DATE'{run_date}')")
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS "
+                           f"PARTITION ({column} = DATE'{run_date}')")
             return
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        self._distribute(name, staged).write.insertInto(name, overwrite=True)
+        self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
 
     def rebuild(self, name: str, df: DataFrame) -> None:
         """Create or replace `name` with the rows and schema of `df`."""
         staged = self.stage(df, name.replace(".", "_"))
-        db = name.split(".")[0]
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root}/{db}'")
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._create_db(name.split(".")[0])
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
         staged.write.mode("overwrite").option("path", self.path(name)).format(
-            "parquet").saveAsTable(name)
+            "parquet").saveAsTable(self.qualified(name))
 
     def merge(self, name: str, source: DataFrame, keys: list[str], **options) -> None:
         """Upsert `source` into table `name` by `keys` (see `upsert`)."""
-        target = self.spark.table(name)
+        target = self.table(name)
         parts = self.partition_columns(name)
         if parts and set(parts) <= set(keys):
             # A match needs equal partition values: read only touched partitions
@@ -149,7 +165,7 @@ class Lakehouse:
 
     def merge_scd2(self, name: str, source: DataFrame, key: str, compare: list[str],
                    run_ts, null_safe: bool = False) -> None:
-        self.replace(name, scd2(self.spark.table(name), source, key, compare, run_ts, null_safe))
+        self.replace(name, scd2(self.table(name), source, key, compare, run_ts, null_safe))
 
     def publish_upsert(self, name: str, df: DataFrame, keys: list[str]) -> None:
         """Keyed copy into a mart table (stage rows, then upsert the mart)."""
@@ -157,7 +173,7 @@ class Lakehouse:
 
     def publish_snapshot(self, name: str, df: DataFrame) -> None:
         """Mart table holds only the latest result."""
-        if not self.spark.catalog.tableExists(name):
+        if not self.exists(name):
             self.rebuild(name, df)
         else:
             self.replace(name, df)
