@@ -96,15 +96,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
         src = src.where(~_any_null(keys))
 
     if check_duplicates:
+        # One partially aggregated count per key, joined back on the keys: the
+        # unique and the duplicate branch share the source's shuffle, and the
+        # unique branch stays partitioned by the keys for the main join.
         counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_rows"))
-        dup_keys = counts.where(F.col("_src_rows") > 1).drop("_src_rows")
-        join_keys = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        flagged = src.alias("s").join(
-            dup_keys.withColumn("_dup", F.lit(True)).alias("d"),
-            reduce(lambda a, b: a & b, join_keys), "left",
-        ).select("s.*", "_dup")
-        dups = flagged.where(F.col("_dup")).drop("_dup")
-        src = flagged.where(F.col("_dup").isNull()).drop("_dup")
+        same = [(F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) if null_safe_keys
+                 else F.col(f"s.{k}") == F.col(f"c.{k}")) for k in keys]
+        counted = src.alias("s").join(counts.alias("c"), reduce(lambda a, b: a & b, same)).select(
+            "s.*", "_src_rows")
+        dups = counted.where(F.col("_src_rows") > 1).drop("_src_rows")
+        src = counted.where(F.col("_src_rows") == 1).drop("_src_rows")
         tkeys = target.select(*[F.col(k).alias(f"_tk_{k}") for k in keys]).withColumn("_hit", F.lit(True))
         cond = [(F.col(k).eqNullSafe(F.col(f"_tk_{k}")) if null_safe_keys
                  else F.col(k) == F.col(f"_tk_{k}")) for k in keys]
