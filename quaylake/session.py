@@ -64,10 +64,15 @@ def shared_dir(spark: SparkSession) -> str:
     setting is missing (local tests) is a fresh temporary folder taken and
     recorded in the session, so every later call sees the same place.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = (spark.conf.get("spark.checkpoint.dir", None)
+               or sc.getConf().get("spark.checkpoint.dir", None))
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     local = tempfile.mkdtemp(prefix="quaylake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
