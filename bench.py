@@ -42,7 +42,7 @@ def main() -> None:
     lake = Lakehouse(spark, scratch_path(spark, "bench", str(time.time_ns())))
     start = time.perf_counter()
     built = silver.from_driver(spark, sf_dir, registry.RUN_TS)
-    staged = silver.Silver(**{n: lake.stage(df, n) for n, df in built.tables().items()})
+    staged = silver.Silver(**lake.stage_many(built.tables()))
     times["silver_build"] = round(time.perf_counter() - start, 3)
 
     s, rd, ts = staged, registry.RUN_DATE, registry.RUN_TS

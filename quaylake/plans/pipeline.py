@@ -170,22 +170,40 @@ def silver_tables(lake: Lakehouse) -> silver.Silver:
 
 
 def run_gold(spark: SparkSession, lake: Lakehouse, run_date, run_ts,
-             idle_run_date=None) -> None:
-    """All gold tables for one run; reports are reloaded for `run_date`."""
+             idle_run_date=None, workers: int = 4) -> None:
+    """All gold tables for one run; reports are reloaded for `run_date`.
+    The tables are independent and written by `workers` concurrent jobs."""
     lake.create_all()
     s = silver_tables(lake)
+    tasks = []
     for table, (build, keys, measures) in GOLD_MERGES.items():
-        lake.merge(table, build(s, run_date, run_ts), keys, update_cols=measures,
-                   null_safe_keys=True)
-    lake.merge("gold.fact_supply_chain_summary", gold.supply_chain_summary(s),
-               ["salesordernumber"], check_duplicates=False)
-    lake.rebuild("gold.fact_shipping_performance", gold.shipping_performance(s))
-    lake.rebuild("gold.aggregated_inventory_levels", gold.inventory_levels(s))
-    for table, build in DAILY_REPORTS.items():
+        tasks.append(lambda t=table, b=build, k=keys, m=measures: lake.merge(
+            t, b(s, run_date, run_ts), k, update_cols=m, null_safe_keys=True))
+    tasks.append(lambda: lake.merge("gold.fact_supply_chain_summary", gold.supply_chain_summary(s),
+                                    ["salesordernumber"], check_duplicates=False))
+    tasks.append(lambda: lake.rebuild("gold.fact_shipping_performance",
+                                      gold.shipping_performance(s)))
+    tasks.append(lambda: lake.rebuild("gold.aggregated_inventory_levels", gold.inventory_levels(s)))
+
+    def report(table, build):
         day = idle_run_date if (idle_run_date and "overstock" in table) else run_date
-        report = lake.stage(build(s, day), table.replace(".", "_"))
-        lake.reload_day(table, report, day)
-        lake.publish_snapshot("mart." + table.split(".")[1], report)
+        rows = lake.stage(build(s, day), table.replace(".", "_"))
+        lake.reload_day(table, rows, day)
+        lake.publish_snapshot("mart." + table.split(".")[1], rows)
+
+    for table, build in DAILY_REPORTS.items():
+        tasks.append(lambda t=table, b=build: report(t, b))
+    _run_all(tasks, workers)
+
+
+def _run_all(tasks, workers: int) -> None:
+    """Run independent table writes as concurrent Spark jobs; re-raise the
+    first failure (every write is idempotent, so a re-run repairs the rest)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        for future in [pool.submit(t) for t in tasks]:
+            future.result()
 
 
 # --- 4. report and audit ------------------------------------------------------------

@@ -341,8 +341,8 @@ def _staged_silver(spark, sf_dir, lake=None, names=None):
     lake = lake or _lake(spark, "silver")
     built = _silver(spark, sf_dir).tables()
     names = set(names or built)
-    return silver.Silver(**{n: lake.stage(df, n) if n in names else df
-                            for n, df in built.items()})
+    staged = lake.stage_many({n: df for n, df in built.items() if n in names})
+    return silver.Silver(**{n: staged.get(n, df) for n, df in built.items()})
 
 
 DIMS = ["dim_customer", "dim_product", "dim_supplier", "dim_warehouse"]

@@ -54,6 +54,10 @@ class Lakehouse:
         self.spark = spark
         self.root = (root or scratch_path(spark, "lakehouse")).rstrip("/")
         self.prefix = prefix
+        # Overwrites of partitioned tables replace only the partitions written
+        # (unpartitioned tables are replaced whole either way).  Set once for
+        # the session, never toggled per write, so concurrent writes agree.
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
     def qualified(self, name: str) -> str:
         return f"{self.prefix}{name}"
@@ -107,6 +111,15 @@ class Lakehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def stage_many(self, frames: dict[str, DataFrame], workers: int = 4) -> dict[str, DataFrame]:
+        """Stage independent DataFrames as concurrent jobs (they share the
+        executors; small ones no longer wait behind large ones)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=max(1, min(workers, len(frames)))) as pool:
+            staged = {n: pool.submit(self.stage, df, n) for n, df in frames.items()}
+            return {n: f.result() for n, f in staged.items()}
+
     def _conform(self, name: str, df: DataFrame) -> DataFrame:
         # insertInto is positional: put columns in table order, cast to table types.
         target = self.table(name).schema
@@ -122,12 +135,7 @@ class Lakehouse:
 
     def replace(self, name: str, df: DataFrame) -> None:
         staged = self.stage(self._conform(name, df), name.replace(".", "_"))
-        mode = "dynamic" if self.partition_columns(name) else "static"
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-        try:
-            self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
 
     def append(self, name: str, df: DataFrame) -> None:
         self._conform(name, df).write.insertInto(self.qualified(name), overwrite=False)
@@ -141,7 +149,6 @@ class Lakehouse:
             self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS "
                            f"PARTITION ({column} = DATE'{run_date}')")
             return
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
 
     def rebuild(self, name: str, df: DataFrame) -> None:
