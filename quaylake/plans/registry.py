@@ -370,8 +370,7 @@ def _csv_corrupt_filter(spark, sf_dir):
 def _json_multiline(spark, sf_dir):
     """Inventory feed as pretty-printed JSON arrays, read back."""
     folder = _workdir(spark, "inventory-json")
-    files.write_drops(driver.inventory_snapshots(spark, sf_dir), folder, "inventory",
-                      "json", "array", archive=False).count()
+    files.write_json_arrays(driver.inventory_snapshots(spark, sf_dir), folder)
     return files.read_json_documents(spark, folder, schemas.INVENTORY_JSON)
 
 
@@ -379,8 +378,7 @@ def _json_multiline(spark, sf_dir):
 def _json_lines(spark, sf_dir):
     """Shipment feed as JSON Lines files, read back."""
     folder = _workdir(spark, "shipment-json")
-    files.write_drops(driver.shipment_events(spark, sf_dir), folder, "shipment",
-                      "json", "lines", archive=False).count()
+    files.write_json_lines(driver.shipment_events(spark, sf_dir), folder)
     return files.read_json_documents(spark, folder, schemas.SHIPMENT_JSON)
 
 
