@@ -12,7 +12,7 @@ writes are keyed or partition-replacing, so re-running is harmless.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_one
@@ -117,6 +117,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     silver.order_rejects instead of being dropped silently.
     """
     lake.create_all()
+    metrics: dict = {}
     lines = lake.stage(files.extract_archives(spark, drops), "drop-lines")
     files.land(lines, landing_root, run_ts)
     stamp = spark.range(1).select(
@@ -126,8 +127,15 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     kinds = {r["kind"] for r in accepted.select("kind").distinct().collect()}
 
     if "sales_orders" in kinds:
+        # Valid / rejected line counts are gathered while the flagged rows are
+        # staged (one job, no separate count actions).
+        quality = Observation("order_quality")
         flagged = lake.stage(silver.flag_orders(files.parse_orders_lines(
-            accepted.where(F.col("kind") == "sales_orders"))), "orders-flagged")
+            accepted.where(F.col("kind") == "sales_orders"))).observe(
+                quality,
+                F.count(F.lit(1)).alias("lines"),
+                F.sum(F.col("error_flag")).alias("rejected")), "orders-flagged")
+        metrics["order_lines"] = quality.get
         rejects = silver.rejected_orders(flagged).withColumn("run_ts", _now(run_ts))
         if not lake.exists("silver.order_rejects"):
             lake.rebuild("silver.order_rejects", rejects)
@@ -158,6 +166,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
             silver.SHIPMENT_KEYS)
     for dim in ("dim_customer", "dim_product", "dim_supplier", "dim_warehouse"):
         lake.publish_snapshot(f"mart.{dim}", lake.table(f"silver.{dim}"))
+    run_facts.last_metrics = metrics
     return files.member_verdicts(lines)
 
 

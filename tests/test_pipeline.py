@@ -47,6 +47,8 @@ def test_pipeline_end_to_end(spark, workdir):
     make_drops(spark, f"{workdir}/drops")
     verdicts = pipeline.run_facts(spark, lake, f"{workdir}/drops", f"{workdir}/land", RUN_TS)
     assert {r["status"] for r in verdicts.collect()} == {"valid"}
+    quality = pipeline.run_facts.last_metrics["order_lines"]
+    assert quality["lines"] == 6000 and 0 < quality["rejected"] < 6000
     pipeline.run_gold(spark, lake, RUN_DATE, RUN_TS, registry.IDLE_RUN_DATE)
 
     expected = silver.from_driver(spark, SF001, RUN_TS)
