@@ -109,15 +109,17 @@ def _load_dimension(lake: Lakehouse, name: str, increment: DataFrame, run_ts) ->
 # --- 2. facts ---------------------------------------------------------------------
 
 def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: str,
-              run_ts) -> DataFrame:
+              run_ts, metrics: dict | None = None) -> DataFrame:
     """Check and land the drops, load the three silver facts, publish them.
 
     Returns the member verdicts (accepted, rejected, skipped).  A kind with
     no accepted member is skipped.  Invalid order lines are kept in
-    silver.order_rejects instead of being dropped silently.
+    silver.order_rejects instead of being dropped silently.  If a `metrics`
+    dict is given, it receives the order-line counts ("order_lines":
+    {"lines", "rejected"}).
     """
     lake.create_all()
-    metrics: dict = {}
+    metrics = {} if metrics is None else metrics
     lines = lake.stage(files.extract_archives(spark, drops), "drop-lines")
     files.land(lines, landing_root, run_ts)
     stamp = spark.range(1).select(
@@ -166,7 +168,6 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
             silver.SHIPMENT_KEYS)
     for dim in ("dim_customer", "dim_product", "dim_supplier", "dim_warehouse"):
         lake.publish_snapshot(f"mart.{dim}", lake.table(f"silver.{dim}"))
-    run_facts.last_metrics = metrics
     return files.member_verdicts(lines)
 
 

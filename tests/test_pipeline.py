@@ -45,9 +45,11 @@ def test_pipeline_end_to_end(spark, workdir):
     assert set(again.values()) == {0}, "nothing above the bookmarks on the second run"
 
     make_drops(spark, f"{workdir}/drops")
-    verdicts = pipeline.run_facts(spark, lake, f"{workdir}/drops", f"{workdir}/land", RUN_TS)
+    metrics = {}
+    verdicts = pipeline.run_facts(spark, lake, f"{workdir}/drops", f"{workdir}/land", RUN_TS,
+                                  metrics)
     assert {r["status"] for r in verdicts.collect()} == {"valid"}
-    quality = pipeline.run_facts.last_metrics["order_lines"]
+    quality = metrics["order_lines"]
     assert quality["lines"] == 6000 and 0 < quality["rejected"] < 6000
     pipeline.run_gold(spark, lake, RUN_DATE, RUN_TS, registry.IDLE_RUN_DATE)
 
