@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators.dedup import keep_one
 from ..sinks.writers import Lakehouse
 from ..sources import files
@@ -109,7 +110,7 @@ def _load_dimension(lake: Lakehouse, name: str, increment: DataFrame, run_ts) ->
 # --- 2. facts ---------------------------------------------------------------------
 
 def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: str,
-              run_ts, metrics: dict | None = None) -> DataFrame:
+              run_ts, metrics: dict | None = None, workers: int = 3) -> DataFrame:
     """Check and land the drops, load the three silver facts, publish them.
 
     Returns the member verdicts (accepted, rejected, skipped).  A kind with
@@ -128,7 +129,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     accepted = lines.where(F.col("status") == files.VALID)
     kinds = {r["kind"] for r in accepted.select("kind").distinct().collect()}
 
-    if "sales_orders" in kinds:
+    def load_orders():
         # Valid / rejected line counts are gathered while the flagged rows are
         # staged (one job, no separate count actions).
         quality = Observation("order_quality")
@@ -151,23 +152,29 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
         return (f"{files.landed(landing_root, kind)}/layout=*/ingest_date={stamp['d']}"
                 f"/ingest_hour={stamp['h']}")
 
-    if "inventory" in kinds:
-        from .. import schemas
+    def load_inventory():
         raw = files.read_json_documents(spark, landed("inventory"), schemas.INVENTORY_JSON)
         inv = silver.fact_inventory(raw)
         lake.merge("silver.fact_inventory", inv, silver.INVENTORY_KEYS, check_duplicates=False)
         lake.publish_upsert("mart.fact_inventory", inv.withColumn(
             "last_movement_date", F.try_to_date("last_movement_date")), silver.INVENTORY_KEYS)
-    if "shipment" in kinds:
-        from .. import schemas
+
+    def load_shipments():
         raw = files.read_json_documents(spark, landed("shipment"), schemas.SHIPMENT_JSON)
         ship = silver.fact_shipments(raw)
         lake.merge("silver.fact_shipments", ship, silver.SHIPMENT_KEYS, check_duplicates=False)
         lake.publish_upsert("mart.fact_shipments", ship.withColumn(
             "promised_delivery_date", F.try_to_date("promised_delivery_date")),
             silver.SHIPMENT_KEYS)
-    for dim in ("dim_customer", "dim_product", "dim_supplier", "dim_warehouse"):
-        lake.publish_snapshot(f"mart.{dim}", lake.table(f"silver.{dim}"))
+
+    # The three facts are independent: loaded as concurrent jobs, each only if
+    # its kind arrived.  Then the dimensions are copied to the mart.
+    loaders = {"sales_orders": load_orders, "inventory": load_inventory,
+               "shipment": load_shipments}
+    _run_all([load for kind, load in loaders.items() if kind in kinds], workers)
+    _run_all([lambda d=dim: lake.publish_snapshot(f"mart.{d}", lake.table(f"silver.{d}"))
+              for dim in ("dim_customer", "dim_product", "dim_supplier", "dim_warehouse")],
+             workers)
     return files.member_verdicts(lines)
 
 

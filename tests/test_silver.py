@@ -75,3 +75,21 @@ def test_inferred_csv(spark, workdir):
     df = files.read_csv_inferred(spark, path)
     assert dict(df.dtypes) == {"a": "int", "b": "string"}
     assert rows(df) == [(1, "x"), (2, "y")]
+
+
+def test_scd2_dimension_joins_current_version_unless_all(spark):
+    from decimal import Decimal as D
+    fact = spark.createDataFrame(
+        [("o1", 1, 2, D("10.0000"))],
+        "salesordernumber string, customer_id int, quantity int, unitprice decimal(8,4)")
+    dim = spark.createDataFrame(
+        [(1, "OLDLAND", False), (1, "NEWLAND", True)],
+        "customer_id int, country string, is_current boolean")
+    suppliers = spark.createDataFrame([], "supplier_id string, is_current boolean")
+    s = silver.Silver(fact, None, None, dim, None, suppliers, None)
+    current = {r["country"]: r["total_sales_amount"]
+               for r in gold.sales_by_country(s, "2024-01-01 00:00:00").collect()}
+    assert current == {"NEWLAND": D("20.00")}
+    every = {r["country"]: r["total_sales_amount"]
+             for r in gold.sales_by_country(s, "2024-01-01 00:00:00", dims="all").collect()}
+    assert every == {"NEWLAND": D("20.00"), "OLDLAND": D("20.00")}, "one sale per version"
