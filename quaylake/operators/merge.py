@@ -149,7 +149,8 @@ def changed(compare: list[str], null_safe: bool = False, t: str = "t__", s: str
 
 def scd2(target: DataFrame, source: DataFrame, key: str | list[str], compare: list[str],
          run_ts, null_safe: bool = False,
-         stamp_new: tuple[str, ...] = ("start_date", "created_at", "updated_at")) -> DataFrame:
+         stamp_new: tuple[str, ...] = ("start_date", "created_at", "updated_at"),
+         check_duplicates: bool = True) -> DataFrame:
     """New contents of a type-2 dimension after one load, in one pass.
 
     Closed versions (is_current false) pass through.  Current versions meet
@@ -163,13 +164,25 @@ def scd2(target: DataFrame, source: DataFrame, key: str | list[str], compare: li
       new current version.
 
     New versions take their attributes from the source, `stamp_new` columns
-    = run_ts, end_date NULL, is_current true.
+    = run_ts, end_date NULL, is_current true.  With `check_duplicates` the
+    plan raises if a key occurs more than once in the source (it would open
+    two current versions); the per-key count shares the source's shuffle with
+    the main join.
     """
     keys = [key] if isinstance(key, str) else list(key)
     now = F.lit(str(run_ts)).cast("timestamp")
     cols = target.columns
     types = dict(target.dtypes)
     src = _align(source, target)
+    if check_duplicates:
+        counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_rows"))
+        key_text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL"))
+                                      for k in keys])
+        # A filter, not a column: a column nobody reads would be pruned away.
+        src = src.join(counts, keys).where(
+            F.when(F.col("_src_rows") > 1, F.raise_error(F.concat(
+                F.lit("scd2: several source rows for key "), key_text))).otherwise(F.lit(True))
+        ).select(*cols)
     history = target.where(~F.coalesce(F.col("is_current"), F.lit(False)))
     current = target.where(F.coalesce(F.col("is_current"), F.lit(False)))
 

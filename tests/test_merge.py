@@ -102,3 +102,10 @@ def test_keep_one_order_and_ties(spark):
     assert rows(latest) == [(1, "a", 5), (2, "z", 3)], "ties broken by the other columns"
     earliest = keep_one(data, ["k"], ["b ASC"])
     assert rows(earliest) == [(1, "c", 1), (2, None, None)], "ASC puts NULL first"
+
+
+def test_scd2_rejects_duplicate_source_keys(spark):
+    empty = spark.createDataFrame([], SCD)
+    dup = version(spark, [(1, "a", "X"), (1, "b", "Y")])
+    with pytest.raises(PySparkException, match="several source rows"):
+        scd2(empty, dup, "id", ["name", "city"], "2024-01-01").collect()
