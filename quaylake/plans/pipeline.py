@@ -127,7 +127,8 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
         F.date_format(_now(run_ts), "yyyy-MM-dd").alias("d"),
         F.date_format(_now(run_ts), "HH").alias("h")).first()
     accepted = lines.where(F.col("status") == files.VALID)
-    kinds = {r["kind"] for r in accepted.select("kind").distinct().collect()}
+    present = accepted.select("kind", "layout").distinct().collect()   # at most 9 rows
+    kinds = {r["kind"] for r in present}
 
     def load_orders():
         # Valid / rejected line counts are gathered while the flagged rows are
@@ -148,19 +149,20 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
         lake.merge("silver.fact_sales_order", fact, silver.ORDER_KEYS, check_duplicates=False)
         lake.publish_upsert("mart.fact_sales_order", fact, silver.ORDER_KEYS)
 
-    def landed(kind):
-        return (f"{files.landed(landing_root, kind)}/layout=*/ingest_date={stamp['d']}"
-                f"/ingest_hour={stamp['h']}")
+    def landed_json(kind, ddl):
+        layouts = {r["layout"] for r in present if r["kind"] == kind}
+        return files.read_landed_json(spark, files.landed(landing_root, kind), ddl, layouts,
+                                      stamp["d"], stamp["h"])
 
     def load_inventory():
-        raw = files.read_json_documents(spark, landed("inventory"), schemas.INVENTORY_JSON)
+        raw = landed_json("inventory", schemas.INVENTORY_JSON)
         inv = silver.fact_inventory(raw)
         lake.merge("silver.fact_inventory", inv, silver.INVENTORY_KEYS, check_duplicates=False)
         lake.publish_upsert("mart.fact_inventory", inv.withColumn(
             "last_movement_date", F.try_to_date("last_movement_date")), silver.INVENTORY_KEYS)
 
     def load_shipments():
-        raw = files.read_json_documents(spark, landed("shipment"), schemas.SHIPMENT_JSON)
+        raw = landed_json("shipment", schemas.SHIPMENT_JSON)
         ship = silver.fact_shipments(raw)
         lake.merge("silver.fact_shipments", ship, silver.SHIPMENT_KEYS, check_duplicates=False)
         lake.publish_upsert("mart.fact_shipments", ship.withColumn(

@@ -250,8 +250,9 @@ def _upsert_partial(spark, sf_dir):
     s = _staged_silver(spark, sf_dir, names=["fact_sales_order", *DIMS])
     earlier = silver.Silver(**{**s.tables(), "fact_sales_order": _before(
         s.fact_sales_order, "createddate", LOAD_CUTOFF)})
+    # Both sides are grouped by exactly SUMMARY_KEYS: unique by construction.
     return upsert(gold.sales_summary(earlier), gold.sales_summary(s), SUMMARY_KEYS,
-                  update_cols=SUMMARY_MEASURES, null_safe_keys=True)
+                  update_cols=SUMMARY_MEASURES, null_safe_keys=True, check_duplicates=False)
 
 
 def deliveries_per_day(shipments, run_ts):
