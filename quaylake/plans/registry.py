@@ -7,11 +7,18 @@ Clock values are fixed so results are reproducible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ..session import tune
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..operators.dedup import keep_one
+from ..operators.merge import scd2, upsert
+from ..session import scratch_path, tune
+from ..sinks.writers import Lakehouse
+from ..sources import driver, files, incremental
 from . import gold, silver
 
 RUN_DATE = "1998-09-02"
@@ -116,11 +123,6 @@ def _top_supplier_sales(spark, sf_dir):
 
 # --- silver: quality, de-duplication, dimensions -----------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators.dedup import keep_one  # noqa: E402
-from ..operators.merge import scd2, upsert  # noqa: E402
-from ..sources import driver  # noqa: E402
 
 # A first load ran at LOAD_TS and saw everything before LOAD_CUTOFF; the
 # second load at RUN_TS reads what changed since (with an overlap window for
@@ -317,13 +319,6 @@ def _customer_versions(spark, sf_dir):
 
 # --- files -------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
-from .. import schemas  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sinks.writers import Lakehouse  # noqa: E402
-from ..sources import files, incremental  # noqa: E402
-
 
 def _workdir(spark, name):
     return scratch_path(spark, "queries", f"{name}-{uuid.uuid4().hex}")
