@@ -65,14 +65,16 @@ def _now(run_ts):
 # --- 1. dimensions --------------------------------------------------------------
 
 def run_dimensions(spark: SparkSession, lake: Lakehouse, url: str, properties: dict,
-                   bookmarks: Bookmarks, run_ts, sources=SOURCES) -> dict[str, int]:
-    """Incremental load of each relational source; returns rows read per source."""
+                   bookmarks: Bookmarks, run_ts, sources=SOURCES,
+                   partitions: int = 1) -> dict[str, int]:
+    """Incremental load of each relational source; returns rows read per source.
+    `partitions` > 1 reads each source with that many parallel range queries."""
     lake.create_all()
     read = {}
     for src in sources:
         mark = bookmarks.get(src.name)
-        increment = lake.stage(read_jdbc(spark, url, src.name, src.ts_col, mark, properties),
-                               f"src-{src.name}")
+        increment = lake.stage(read_jdbc(spark, url, src.name, src.ts_col, mark, properties,
+                                         partitions), f"src-{src.name}")
         if increment.isEmpty():
             read[src.name] = 0
             continue

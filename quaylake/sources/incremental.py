@@ -45,18 +45,31 @@ def above_mark(df: DataFrame, ts_col: str, mark) -> DataFrame:
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, ts_col: str, mark=None,
-              properties: dict | None = None, partitions: int | None = None,
-              lower=None, upper=None, partition_column: str | None = None) -> DataFrame:
-    """Incremental JDBC read; with `partition_column` and bounds the read is
-    split into `partitions` parallel range queries."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for key, value in (properties or {}).items():
-        reader = reader.option(key, value)
-    if partition_column and partitions:
-        reader = (reader.option("partitionColumn", partition_column)
-                  .option("lowerBound", str(lower)).option("upperBound", str(upper))
-                  .option("numPartitions", str(partitions)))
-    return above_mark(reader.load(), ts_col, mark)
+              properties: dict | None = None, partitions: int = 1) -> DataFrame:
+    """Incremental JDBC read.
+
+    With `partitions` > 1 the read is split into that many parallel range
+    queries on the change column: its MIN / MAX above the mark are fetched
+    first as one aggregate the database computes (aggregate push-down), and
+    become the split bounds.  Every source has a change column, so this works
+    for text keys too.
+    """
+    def reader():
+        r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+        for key, value in (properties or {}).items():
+            r = r.option(key, value)
+        return r
+
+    if partitions > 1:
+        bounds = (above_mark(reader().option("pushDownAggregate", "true").load(), ts_col, mark)
+                  .agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first())
+        if bounds["lo"] is not None and bounds["lo"] != bounds["hi"]:
+            split = (reader().option("partitionColumn", ts_col)
+                     .option("lowerBound", str(bounds["lo"]))
+                     .option("upperBound", str(bounds["hi"]))
+                     .option("numPartitions", str(partitions)))
+            return above_mark(split.load(), ts_col, mark)
+    return above_mark(reader().load(), ts_col, mark)
 
 
 class Bookmarks:

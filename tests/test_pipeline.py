@@ -39,7 +39,7 @@ def test_pipeline_end_to_end(spark, workdir):
     lake = Lakehouse(spark, f"{workdir}/lake", prefix=f"t{uuid.uuid4().hex[:8]}_")
     marks = Bookmarks(spark, f"{workdir}/bookmarks")
 
-    first = pipeline.run_dimensions(spark, lake, url, DERBY, marks, RUN_TS)
+    first = pipeline.run_dimensions(spark, lake, url, DERBY, marks, RUN_TS, partitions=4)
     assert first["Customer"] == 150 and first["Warehouse"] == 25
     again = pipeline.run_dimensions(spark, lake, url, DERBY, marks, RUN_TS)
     assert set(again.values()) == {0}, "nothing above the bookmarks on the second run"

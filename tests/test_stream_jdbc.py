@@ -66,3 +66,8 @@ def test_jdbc_incremental_with_bookmark(spark, workdir):
     plan = out.getvalue()
     assert "PushedFilters" in plan and "GreaterThan" in plan
     assert marks.advance("Thing", later.where(F.lit(False)), "UpdatedAt", "x") == mark
+    split = read_jdbc(spark, url, "Thing", "UpdatedAt", None, props, partitions=3)
+    assert split.rdd.getNumPartitions() == 3
+    assert sorted(r["Id"] for r in split.collect()) == [1, 2, 3, 4]
+    split_inc = read_jdbc(spark, url, "Thing", "UpdatedAt", dt.datetime(2024, 1, 1, 12), props, 3)
+    assert sorted(r["Id"] for r in split_inc.collect()) == [2, 3, 4]
