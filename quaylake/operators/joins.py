@@ -5,21 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may have and still be shipped whole to every task.
+# Rows a dimension may have and still be shipped whole to every task; a
+# session can override it with the setting below.
 BROADCAST_ROW_LIMIT = 500_000
+ROW_LIMIT_SETTING = "quaylake.broadcast.maxRows"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+def row_limit(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(ROW_LIMIT_SETTING, None)
+    return int(value) if value else BROADCAST_ROW_LIMIT
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when `df` has at most `max_rows` rows.
 
     Counts by taking at most max_rows + 1 one-column rows: Spark scans
     partitions incrementally and stops as soon as the bound is passed, so a
     large table costs a few tasks, never a full scan.
     """
+    max_rows = row_limit(df) if max_rows is None else max_rows
     return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mark `df` for broadcast when it is proven small; else leave it to Spark.
 
     Beyond the bound the join stays a shuffle join, which AQE may still turn

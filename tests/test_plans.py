@@ -60,3 +60,13 @@ def test_broadcast_only_below_the_bound(spark):
     assert "strategy=broadcast" in hinted
     unhinted = plan(joins.bounded_broadcast(spark.range(1000), 100), "extended")
     assert "strategy=broadcast" not in unhinted
+
+
+def test_broadcast_bound_from_session_setting(spark):
+    spark.conf.set(joins.ROW_LIMIT_SETTING, "5")
+    try:
+        assert not joins.fits_broadcast(spark.range(10))
+        assert "strategy=broadcast" not in plan(joins.bounded_broadcast(spark.range(10)), "extended")
+    finally:
+        spark.conf.unset(joins.ROW_LIMIT_SETTING)
+    assert joins.fits_broadcast(spark.range(10))
