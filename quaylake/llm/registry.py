@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import (bpe_codec, hash_tree, langid, packing, token_counts, url_filter)
+from quaylake.llm import (bpe_codec, hash_tree, langid, packing, pivot_topk, simhash, token_counts,
+                          url_filter)
 from quaylake.llm.common import id_remainder, read_table
 
 HELD_OUT_LANG = (4, 2)      # modulus, remainder
@@ -23,6 +24,14 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         read_table(spark, sf_dir, "documents"),
@@ -53,7 +62,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op5_token_counts, op6_harmonic_packing,
-                            op7_hash_tree_shards, op9_language_id, op10_url_filter)}
+    f.__name__: f for f in (
+        op1_bpe_round_trip, op3_pivot_top_k, op4_simhash_groups, op5_token_counts,
+        op6_harmonic_packing, op7_hash_tree_shards, op9_language_id, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}
