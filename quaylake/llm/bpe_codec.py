@@ -51,8 +51,10 @@ class Codec:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.length = {rank: len(token) for token, rank in ranks.items()}
-        self.longest = max(self.length.values())
+        self.length = [0] * (max(self.token) + 1)
+        for rank, token in self.token.items():
+            self.length[rank] = len(token)
+        self.longest = max(self.length)
         self.pattern = compiled(pattern)
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -60,7 +62,7 @@ class Codec:
         self.automaton.make_automaton()
         self.memo: dict[tuple[int, int], bool] = {}
         self.memo_limit = memo_limit
-        self.by_cut = PieceCache(lambda pieces: [self._packed_text(uncut(p)) for p in pieces])
+        self.by_cut = PieceCache(self._pack_cuts)
         self.by_pretoken = PieceCache(lambda pieces: [self._packed(p.encode()) for p in pieces])
 
     def merge(self, data: bytes) -> list[int]:
@@ -91,59 +93,57 @@ class Codec:
             self.memo[left, right] = known
         return known
 
+    def _starting(self, text: str) -> list[list[int]]:
+        """For each position the tokens that start there, shortest first."""
+        found: list[list[int]] = [[] for _ in text]
+        length = self.length
+        for end, rank in self.automaton.iter(text):
+            found[end - length[rank] + 1].append(rank)
+        return found
+
     def encode_pretoken(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None or not data:
             return [] if whole is None else [whole]
-        text, size = data.decode("latin-1"), len(data)
-        windows: dict[int, list[list[int]]] = {}
-
-        def starting(at: int) -> list[int]:
-            """Tokens that start at a position, shortest first; found window by window."""
-            number = at // _WINDOW
-            window = windows.get(number)
-            if window is None:
-                first = number * _WINDOW
-                window = [[] for _ in range(min(_WINDOW, size - first))]
-                for end, rank in self.automaton.iter(text[first:first + _WINDOW + self.longest]):
-                    start = end - self.length[rank] + 1
-                    if start < len(window):
-                        window[start].append(rank)
-                if len(windows) > 2:
-                    windows.pop(min(windows))
-                windows[number] = window
-            return window[at - number * _WINDOW]
-
+        text, size, length = data.decode("latin-1"), len(data), self.length
+        starts = self._starting(text) if size <= _WINDOW else _Windows(self, text)
+        known = self.memo
         out: list[int] = []
         tried: list[int] = []       # for each token of out, its place among those starting there
-        stuck = bytearray(size + 1)
-        at, choice = 0, len(starting(0))
+        stuck: set[int] = set()
+        at, before = 0, -1
+        options = starts[0]
+        choice = len(options)
         while at < size:
-            options, before = starting(at), out[-1] if out else -1
-            choice -= 1
-            while choice >= 0:
-                token = options[choice]
-                after = at + self.length[token]
-                if not stuck[after] and self.compatible(before, token):
-                    break
+            while choice:
                 choice -= 1
-            if choice >= 0:
-                out.append(token)
-                tried.append(choice)
-                at = after
-                choice = len(starting(at)) if at < size else 0
+                token = options[choice]
+                after = at + length[token]
+                if after not in stuck:
+                    fits = known.get((before, token))
+                    if fits or fits is None and self.compatible(before, token):
+                        out.append(token)
+                        tried.append(choice)
+                        at, before = after, token
+                        options = starts[at] if at < size else ()
+                        choice = len(options)
+                        break
             else:
-                stuck[at] = 1
-                at -= self.length[out.pop()]
+                stuck.add(at)
+                at -= length[out.pop()]
                 choice = tried.pop()
+                before = out[-1] if out else -1
+                options = starts[at]
         return out
 
     def _packed(self, data: bytes) -> bytes:
         ids = self.encode_pretoken(data)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _packed_text(self, text: str) -> bytes:
-        return b"".join(self._packed(p.encode()) for p in self.pattern.findall(text))
+    def _pack_cuts(self, pieces: list[str]) -> list[bytes]:
+        split = [self.pattern.findall(uncut(p)) for p in pieces]
+        packed = self.by_pretoken.table({p for pretokens in split for p in pretokens})
+        return [b"".join([packed[p] for p in pretokens]) for pretokens in split]
 
     def encode_packed(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -159,6 +159,25 @@ class Codec:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+class _Windows:
+    """What `_starting` gives, for a long pre-token: found window by window, the last few kept."""
+
+    def __init__(self, codec: Codec, text: str):
+        self.codec, self.text = codec, text
+        self.windows: dict[int, list[list[int]]] = {}
+
+    def __getitem__(self, at: int) -> list[int]:
+        number, place = divmod(at, _WINDOW)
+        window = self.windows.get(number)
+        if window is None:
+            first = number * _WINDOW
+            window = self.codec._starting(self.text[first:first + _WINDOW + self.codec.longest])
+            if len(self.windows) > 2:
+                del self.windows[min(self.windows)]
+            self.windows[number] = window
+        return window[place]
+
+
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 

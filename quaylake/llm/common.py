@@ -82,7 +82,7 @@ class PieceCache:
     it becomes the old one; pieces met again are carried over, so frequent pieces stay.
     """
 
-    def __init__(self, fill: Callable[[list], Iterable], limit: int = 250_000):
+    def __init__(self, fill: Callable[[list], Iterable], limit: int = 400_000):
         self.fill, self.limit = fill, limit
         self.young: dict = {}
         self.old: dict = {}

@@ -10,12 +10,19 @@ results are memoised; any other text goes through the pattern as a whole.
 
 from __future__ import annotations
 
-import re
+import sys
 
 import regex
 
-#: Any white space but a blank or line feed, or two white space characters in a row.
-_IRREGULAR = re.compile(r"[^\S \n]|[ \n]{2}")
+_OTHER_SPACES = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n"]
+_ASCII_SPACES = [c for c in _OTHER_SPACES if c.isascii()]
+_IN_A_ROW = ("  ", "\n\n", " \n", "\n ")
+
+
+def _irregular(text: str) -> bool:
+    """Whether it has white space but blanks and line feeds, or two of these in a row."""
+    spaces = _ASCII_SPACES if text.isascii() else _OTHER_SPACES
+    return any(s in text for s in _IN_A_ROW) or any(s in text for s in spaces)
 
 
 def cut(text: str) -> list[str] | None:
@@ -23,7 +30,7 @@ def cut(text: str) -> list[str] | None:
 
     A leading blank is left off: a piece not starting with a line feed has one, but for the
     first, which is marked by a leading tab (a text with tabs is irregular)."""
-    if _IRREGULAR.search(text):
+    if _irregular(text):
         return None
     pieces = text.replace("\n", " \n").split(" ")
     if pieces[0]:

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import (bpe_codec, hash_tree, langid, packing, pivot_topk, simhash, token_counts,
-                          url_filter)
+from quaylake.llm import (bpe_codec, hash_tree, langid, packing, pivot_topk, rules, simhash,
+                          token_counts, url_filter)
 from quaylake.llm.common import id_remainder, read_table
 
 HELD_OUT_LANG = (4, 2)      # modulus, remainder
@@ -47,6 +47,13 @@ def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.assign(read_table(spark, sf_dir, "documents"), 16)
 
 
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    learned = rules.fit(docs, read_table(spark, sf_dir, "labels"))
+    return rules.judged(docs.select("doc_id", "text"), learned).select(
+        "doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     modulus, remainder = HELD_OUT_LANG
@@ -64,6 +71,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_round_trip, op3_pivot_top_k, op4_simhash_groups, op5_token_counts,
-        op6_harmonic_packing, op7_hash_tree_shards, op9_language_id, op10_url_filter)}
+        op6_harmonic_packing, op7_hash_tree_shards, op8_decision_list, op9_language_id, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}
