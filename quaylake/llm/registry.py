@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import (bpe_codec, hash_tree, langid, packing, pivot_topk, rules, simhash,
-                          token_counts, url_filter)
+from quaylake.llm import (bpe_codec, hash_tree, langid, packing, pivot_topk, ppm_score, rules,
+                          simhash, token_counts, url_filter)
 from quaylake.llm.common import id_remainder, read_table
 
 HELD_OUT_LANG = (4, 2)      # modulus, remainder
@@ -24,6 +24,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_score.score(read_table(spark, sf_dir, "documents"),
+                           id_remainder(F.col("doc_id"), 10) == 0)
+
+
 def op3_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -70,7 +75,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_bpe_round_trip, op3_pivot_top_k, op4_simhash_groups, op5_token_counts,
+        op1_bpe_round_trip, op2_ppm_scores, op3_pivot_top_k, op4_simhash_groups, op5_token_counts,
         op6_harmonic_packing, op7_hash_tree_shards, op8_decision_list, op9_language_id, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}
