@@ -9,21 +9,20 @@ Plan shape of `upsert`:
 * rows whose key has a NULL can never match (MERGE's `=`), so they bypass
   the join: NULL-key target rows pass through, NULL-key source rows are
   inserted.  Hash partitioning would otherwise put all of them in one task.
-* the remaining rows meet in one full outer join on the keys.  Keys are
-  unique on both sides (the target is keyed; duplicate source keys are
-  split off below), so no key is hot in that join.
-* with `check_duplicates`, source keys occurring more than once are counted
-  by a partially aggregated group-by.  Such rows are routed around the main
-  join: if their key exists in the target the plan raises (MERGE's rule:
-  several source rows may not update one target row); otherwise they are all
-  inserted, as MERGE does.
+* the remaining rows meet in one full outer join on the keys; target keys
+  are unique.
+* with `check_duplicates`, the rows of each source key are counted by a window
+  over the keys, which the join's partitioning serves as well: the source is
+  read and shuffled once.  If several source rows match one target row the
+  plan raises (MERGE's rule); several without a match are all inserted, as
+  MERGE does.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DUPLICATE_ERROR = "upsert: several source rows match one target row for key "
@@ -95,32 +94,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
         inserts.append(as_insert(src.where(_any_null(keys))))
         src = src.where(~_any_null(keys))
 
-    if check_duplicates:
-        # One partially aggregated count per key, joined back on the keys: the
-        # unique and the duplicate branch share the source's shuffle, and the
-        # unique branch stays partitioned by the keys for the main join.
-        counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_rows"))
-        same = [(F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) if null_safe_keys
-                 else F.col(f"s.{k}") == F.col(f"c.{k}")) for k in keys]
-        counted = src.alias("s").join(counts.alias("c"), reduce(lambda a, b: a & b, same)).select(
-            "s.*", "_src_rows")
-        dups = counted.where(F.col("_src_rows") > 1).drop("_src_rows")
-        src = counted.where(F.col("_src_rows") == 1).drop("_src_rows")
-        tkeys = target.select(*[F.col(k).alias(f"_tk_{k}") for k in keys]).withColumn("_hit", F.lit(True))
-        cond = [(F.col(k).eqNullSafe(F.col(f"_tk_{k}")) if null_safe_keys
-                 else F.col(k) == F.col(f"_tk_{k}")) for k in keys]
-        checked = dups.join(tkeys, reduce(lambda a, b: a & b, cond), "left")
-        key_text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-        checked = checked.withColumn(
-            "_hit", F.when(F.col("_hit"), F.raise_error(F.concat(F.lit(DUPLICATE_ERROR), key_text))))
-        inserts.append(as_insert(checked.where(F.col("_hit").isNull()).select(*cols)))
+    rows = (F.count(F.lit(1)).over(Window.partitionBy(*keys)) if check_duplicates else F.lit(1))
+    src = src.withColumn("_rows", rows)
 
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in cols]).withColumn("_t", F.lit(True))
-    s = src.select(*[F.col(c).alias(f"s__{c}") for c in cols]).withColumn("_s", F.lit(True))
+    s = src.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.col("_rows").alias("_s"))
     on = [(F.col(f"t__{k}").eqNullSafe(F.col(f"s__{k}")) if null_safe_keys
            else F.col(f"t__{k}") == F.col(f"s__{k}")) for k in keys]
     joined = t.join(s, reduce(lambda a, b: a & b, on), "full_outer")
     in_t, in_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    if check_duplicates:
+        # A filter, not a column: a column nobody reads would be pruned away.
+        key_text = F.concat_ws(",", *[F.coalesce(F.col(f"s__{k}").cast("string"), F.lit("NULL"))
+                                      for k in keys])
+        joined = joined.where(F.when(in_t & (F.col("_s") > 1), F.raise_error(
+            F.concat(F.lit(DUPLICATE_ERROR), key_text)).cast("boolean")).otherwise(F.lit(True)))
     types = dict(target.dtypes)
     out = []
     for c in cols:
@@ -167,24 +155,29 @@ def scd2(target: DataFrame, source: DataFrame, key: str | list[str], compare: li
     = run_ts, end_date NULL, is_current true.  With `check_duplicates` the
     plan raises if a key occurs more than once in the source (it would open
     two current versions); the per-key count shares the source's shuffle with
-    the main join.
+    the main join.  A NULL key matches nothing, as in MERGE: every such source
+    row is a new version.
     """
     keys = [key] if isinstance(key, str) else list(key)
     now = F.lit(str(run_ts)).cast("timestamp")
     cols = target.columns
     types = dict(target.dtypes)
     src = _align(source, target)
+    # NULL keys match nothing: such source rows become new versions, such target rows stay.
+    # They go around the join, where they would all meet in one task.
+    unmatched = src.where(_any_null(keys))
+    src = src.where(~_any_null(keys))
     if check_duplicates:
-        counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_rows"))
-        key_text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL"))
-                                      for k in keys])
+        key_text = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
         # A filter, not a column: a column nobody reads would be pruned away.
-        src = src.join(counts, keys).where(
-            F.when(F.col("_src_rows") > 1, F.raise_error(F.concat(
-                F.lit("scd2: several source rows for key "), key_text))).otherwise(F.lit(True))
-        ).select(*cols)
+        src = src.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(
+            F.when(F.col("_rows") > 1, F.raise_error(F.concat(
+                F.lit("scd2: several source rows for key "), key_text)).cast("boolean"))
+            .otherwise(F.lit(True))).select(*cols)
     history = target.where(~F.coalesce(F.col("is_current"), F.lit(False)))
     current = target.where(F.coalesce(F.col("is_current"), F.lit(False)))
+    history = history.unionByName(current.where(_any_null(keys)))
+    current = current.where(~_any_null(keys))
 
     t = current.select(*[F.col(c).alias(f"t__{c}") for c in cols]).withColumn("_t", F.lit(True))
     s = src.select(*[F.col(c).alias(f"s__{c}") for c in cols]).withColumn("_s", F.lit(True))
@@ -217,4 +210,5 @@ def scd2(target: DataFrame, source: DataFrame, key: str | list[str], compare: li
     versions = joined.select(
         F.explode(F.filter(F.array(old, new), lambda v: v.isNotNull())).alias("v")
     ).select("v.*")
-    return history.select(*cols).unionByName(versions)
+    added = unmatched.select(version("", closing=False).alias("v")).select("v.*")
+    return history.select(*cols).unionByName(versions).unionByName(added)

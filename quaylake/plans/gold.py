@@ -5,9 +5,9 @@ DataFrame out.  Writing (merge, daily partition reload, rebuild, publish) is
 the caller's choice, see `quaylake.sinks.writers`.
 
 Scale notes
-* Dimensions join through `bounded_broadcast`: shipped whole only when a
-  bounded count proves them small; otherwise the join shuffles and AQE
-  re-plans it (runtime broadcast, skew split) from real sizes.
+* Dimensions join by plain equi-joins: AQE broadcasts one whose measured
+  shuffle size lies below `spark.sql.adaptive.autoBroadcastJoinThreshold`,
+  else splits skewed partitions.  Building a report runs no Spark job.
 * Facts join facts on keys that are unique on one side (silver keeps one
   shipment per order, one stock row per product and warehouse), so no join
   multiplies rows.
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_one
-from ..operators.joins import bounded_broadcast
 from .silver import Silver, delivery_status, ts_literal
 
 AMOUNT = "decimal(18,2)"
@@ -64,10 +63,10 @@ def sales_summary(silver: Silver, dims: str = "current") -> DataFrame:
     f = silver.fact_sales_order.select(
         "customer_id", "product_id", "supplier_id", "warehouse_id", "createddate",
         "quantity", "unitprice", "taxamount")
-    c = bounded_broadcast(d["customer"].select("customer_id", "customer_name"))
-    p = bounded_broadcast(d["product"].select("product_id", "product_name"))
-    s = bounded_broadcast(d["supplier"].select("supplier_id", "supplier_name"))
-    w = bounded_broadcast(d["warehouse"].select("warehouse_id", "warehouse_name"))
+    c = d["customer"].select("customer_id", "customer_name")
+    p = d["product"].select("product_id", "product_name")
+    s = d["supplier"].select("supplier_id", "supplier_name")
+    w = d["warehouse"].select("warehouse_id", "warehouse_name")
     joined = (
         f.join(c, "customer_id", "left")
         .join(p, "product_id", "left")
@@ -94,7 +93,7 @@ def _sales_totals(run_ts) -> list[Column]:
 
 def sales_by_country(silver: Silver, run_ts, dims: str = "current") -> DataFrame:
     """Sales per customer country."""
-    c = bounded_broadcast(_dims(silver, dims)["customer"].select("customer_id", "country"))
+    c = _dims(silver, dims)["customer"].select("customer_id", "country")
     f = silver.fact_sales_order.select("customer_id", "salesordernumber", "quantity", "unitprice")
     return (
         f.join(c, "customer_id", "left")
@@ -105,7 +104,7 @@ def sales_by_country(silver: Silver, run_ts, dims: str = "current") -> DataFrame
 
 
 def _by_supplier(silver: Silver, period: Column, run_ts, dims: str) -> DataFrame:
-    s = bounded_broadcast(_dims(silver, dims)["supplier"].select("supplier_id", "supplier_name"))
+    s = _dims(silver, dims)["supplier"].select("supplier_id", "supplier_name")
     f = silver.fact_sales_order.select(
         F.col("supplier_id").alias("f_supplier_id"), "createddate", "salesordernumber",
         "quantity", "unitprice")
@@ -160,12 +159,12 @@ def supply_chain_summary(silver: Silver, dims: str = "current") -> DataFrame:
     """
     d = _dims(silver, dims)
     f = silver.fact_sales_order
-    c = bounded_broadcast(d["customer"].select("customer_id", "customer_name"))
-    p = bounded_broadcast(d["product"].select(
-        "product_id", "product_name", F.col("supplier_id").alias("p_supplier_id")))
-    s = bounded_broadcast(d["supplier"].select(
-        F.col("supplier_id").alias("s_supplier_id"), "supplier_name"))
-    w = bounded_broadcast(d["warehouse"].select("warehouse_id", "warehouse_name"))
+    c = d["customer"].select("customer_id", "customer_name")
+    p = d["product"].select(
+        "product_id", "product_name", F.col("supplier_id").alias("p_supplier_id"))
+    s = d["supplier"].select(
+        F.col("supplier_id").alias("s_supplier_id"), "supplier_name")
+    w = d["warehouse"].select("warehouse_id", "warehouse_name")
     stock = stock_per_product(silver.fact_inventory).withColumnRenamed("product_id", "i_product_id")
     ship = silver.fact_shipments.select(
         F.col("salesordernumber").alias("sh_order"), "shipment_date", "delivery_status")
@@ -207,10 +206,10 @@ def shipping_performance(silver: Silver) -> DataFrame:
 def inventory_levels(silver: Silver) -> DataFrame:
     """Stock per update time, product and warehouse."""
     i = silver.fact_inventory.select("last_updated", "product_id", "warehouse_id", "stock_level")
-    p = bounded_broadcast(silver.dim_product.select(
-        F.col("product_id").cast("string").alias("p_product_id"), "product_name"))
-    w = bounded_broadcast(silver.dim_warehouse.select(
-        F.col("warehouse_id").alias("w_warehouse_id"), "warehouse_name"))
+    p = silver.dim_product.select(
+        F.col("product_id").cast("string").alias("p_product_id"), "product_name")
+    w = silver.dim_warehouse.select(
+        F.col("warehouse_id").alias("w_warehouse_id"), "warehouse_name")
     return (
         i.join(p, i.product_id == p.p_product_id)
         .join(w, i.warehouse_id == w.w_warehouse_id)

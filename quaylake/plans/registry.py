@@ -17,7 +17,7 @@ from .. import schemas
 from ..operators.dedup import keep_one
 from ..operators.merge import scd2, upsert
 from ..session import scratch_path, tune
-from ..sinks.writers import Lakehouse
+from ..sinks.writers import MART_TABLES, Lakehouse
 from ..sources import driver, files, incremental
 from . import gold, silver
 
@@ -247,14 +247,110 @@ SUMMARY_MEASURES = ["total_quantity_sold", "total_sales_amount", "total_tax_coll
 
 @query("upsert_partial")
 def _upsert_partial(spark, sf_dir):
-    """Sales summary of the first load, refreshed by the second (measures
-    only; NULL-safe keys so re-runs do not repeat NULL groups)."""
-    s = _staged_silver(spark, sf_dir, names=["fact_sales_order", *DIMS])
+    """Groups of the first load, their measures still 0, refreshed by the second
+    (measures only; NULL-safe keys so re-runs do not repeat NULL groups)."""
+    # The sale's day is a group key, so what the first load summed up is a part of the
+    # summary; it is derived and written once.  Both sides are grouped by exactly
+    # SUMMARY_KEYS: unique by construction.
+    summary = _lake(spark, "summary").stage(gold.sales_summary(_silver(spark, sf_dir)))
+    first = _before(summary, "sale_date", LOAD_CUTOFF)
+    first = first.select(*SUMMARY_KEYS, *[F.lit(0).cast(first.schema[c].dataType).alias(c)
+                                          for c in SUMMARY_MEASURES])
+    return upsert(first, summary, SUMMARY_KEYS,
+                  update_cols=SUMMARY_MEASURES, null_safe_keys=True, check_duplicates=False)
+
+
+@query("upsert_shipments")
+def _upsert_shipments(spark, sf_dir):
+    """Shipment fact by order: the first load had no carrier yet."""
+    fact = silver.fact_shipments(driver.shipment_events(spark, sf_dir))
+    target = _before(fact, "shipment_date", LOAD_CUTOFF).withColumn("carrier_name", F.lit("TBD"))
+    return upsert(target, _since(fact, "shipment_date", OVERLAP_FROM), silver.SHIPMENT_KEYS)
+
+
+FIRST_SHIPPED = "1992-03-01"
+
+
+def _shipped_early(spark, sf_dir, key):
+    lines = _before(driver.table(spark, sf_dir, "lineitem"), "l_shipdate", FIRST_SHIPPED)
+    return lines.select(key.alias("early")).distinct()
+
+
+def _scd1(spark, name, dim, key, early):
+    """A type-1 dimension: first the members shipped early, with a location or brand that
+    was not known yet; then all of them."""
+    lake = _lake(spark, "scd1")
+    lake.create_table(f"silver.{name}", schemas.TABLES[f"silver.{name}"])
+    known = dim(LOAD_TS).join(early, F.col(key) == F.col("early"), "left_semi")
+    for rows, ts in ((known, LOAD_TS), (dim(RUN_TS), RUN_TS)):
+        now = silver.ts_literal(ts)
+        lake.merge(f"silver.{name}", rows, [key],
+                   update_cols=[c for c in rows.columns if c != "created_at"],
+                   update_exprs={"updated_at": now},
+                   insert_exprs={"created_at": now, "updated_at": now}, check_duplicates=False)
+    return lake.table(f"silver.{name}")
+
+
+@query("scd1_product")
+def _scd1_product(spark, sf_dir):
+    """Products overwritten in place; created_at stays that of their first load."""
+    return _scd1(spark, "dim_product",
+                 lambda ts: silver.transform_product(driver.source_product(spark, sf_dir), ts),
+                 "product_id", _shipped_early(spark, sf_dir, F.col("l_partkey").cast("int")))
+
+
+@query("scd1_warehouse")
+def _scd1_warehouse(spark, sf_dir):
+    """Warehouses overwritten in place; created_at stays that of their first load."""
+    return _scd1(spark, "dim_warehouse",
+                 lambda ts: silver.transform_warehouse(driver.warehouse_changes(spark, sf_dir), ts),
+                 "warehouse_id", _shipped_early(
+                     spark, sf_dir, (F.col("l_partkey") % 25).cast("string")))
+
+
+def _merge_gold(spark, sf_dir, table, **options):
+    """A gold summary stored after the first load, then merged with the second load's."""
+    from .pipeline import GOLD_MERGES
+
+    lake = _lake(spark, "gold")
+    build, keys, measures = GOLD_MERGES[table]
+    lake.create_table(table, schemas.TABLES[table])
+    s = _staged_silver(spark, sf_dir, lake, names=["fact_sales_order", "dim_customer", "dim_supplier"])
     earlier = silver.Silver(**{**s.tables(), "fact_sales_order": _before(
         s.fact_sales_order, "createddate", LOAD_CUTOFF)})
-    # Both sides are grouped by exactly SUMMARY_KEYS: unique by construction.
-    return upsert(gold.sales_summary(earlier), gold.sales_summary(s), SUMMARY_KEYS,
-                  update_cols=SUMMARY_MEASURES, null_safe_keys=True, check_duplicates=False)
+    for load, ts in ((earlier, LOAD_TS), (s, RUN_TS)):
+        lake.merge(table, build(load, RUN_DATE, ts), keys, update_cols=measures, null_safe_keys=True)
+    return lake.table(table)
+
+
+@query("merge_gold_country")
+def _merge_gold_country(spark, sf_dir):
+    return _merge_gold(spark, sf_dir, "gold.fact_sales_summary_by_country")
+
+
+@query("merge_gold_daily")
+def _merge_gold_daily(spark, sf_dir):
+    return _merge_gold(spark, sf_dir, "gold.fact_sales_summary_by_supplier_daily")
+
+
+@query("merge_gold_monthly")
+def _merge_gold_monthly(spark, sf_dir):
+    return _merge_gold(spark, sf_dir, "gold.fact_sales_summary_by_supplier_monthly")
+
+
+@query("merge_supply_chain")
+def _merge_supply_chain(spark, sf_dir):
+    """The wide order summary merged by order number, first and second load."""
+    lake = _lake(spark, "wide")
+    table = "gold.fact_supply_chain_summary"
+    lake.create_table(table, schemas.TABLES[table])
+    s = _staged_silver(spark, sf_dir, lake)
+    earlier = silver.Silver(**{**s.tables(), "fact_sales_order": _before(
+        s.fact_sales_order, "createddate", LOAD_CUTOFF)})
+    for load in (earlier, s):
+        lake.merge(table, gold.supply_chain_summary(load), ["salesordernumber"],
+                   check_duplicates=False)
+    return lake.table(table)
 
 
 def deliveries_per_day(shipments, run_ts):
@@ -273,6 +369,22 @@ def _upsert_null_keys(spark, sf_dir):
     return upsert(target, source, ["supplier_id", "actual_delivery_date"])
 
 
+@query("merge_null_partition")
+def _merge_null_partition(spark, sf_dir):
+    """Deliveries per supplier and month in a table partitioned by month; what is not
+    delivered yet lies in the NULL partition, whose old rows stay (NULL matches nothing)."""
+    lake = _lake(spark, "deliveries")
+    name = "gold.deliveries"
+    lake.create_table(name, "supplier_id string, deliveries bigint, delivery_month string",
+                      ["delivery_month"])
+    ships = driver.shipment_events(spark, sf_dir).withColumn(
+        "delivery_month", F.date_format("actual_delivery_date", "yyyy-MM"))
+    for part in (_before(ships, "shipment_date", LOAD_CUTOFF), ships):
+        lake.merge(name, part.groupBy("supplier_id", "delivery_month")
+                   .agg(F.count(F.lit(1)).alias("deliveries")), ["supplier_id", "delivery_month"])
+    return lake.table(name)
+
+
 # --- SCD2 ----------------------------------------------------------------------
 
 def _customer_dim_as_of(spark, sf_dir, run_ts, before=None, since=None):
@@ -291,6 +403,20 @@ def _scd2_customer(spark, sf_dir):
     return scd2(target, source, "customer_id", silver.CUSTOMER_COMPARE, RUN_TS)
 
 
+@query("scd2_null_keys")
+def _scd2_null_keys(spark, sf_dir):
+    """The same loads where the second feed lost the ids of one region's customers: a NULL
+    key matches nothing, so each is a new version and the known ones stay current."""
+    target = _customer_dim_as_of(spark, sf_dir, LOAD_TS, before=LOAD_CUTOFF)
+    source = _customer_dim_as_of(spark, sf_dir, RUN_TS, since=LOAD_CUTOFF)
+    source = source.withColumn("customer_id", F.when(
+        F.col("country") == LOST_REGION, F.lit(None)).otherwise(F.col("customer_id")))
+    return scd2(target, source, "customer_id", silver.CUSTOMER_COMPARE, RUN_TS)
+
+
+LOST_REGION = "AFRICA"
+
+
 @query("scd2_supplier")
 def _scd2_supplier(spark, sf_dir):
     """Supplier dimension, first load then the suppliers active since."""
@@ -402,8 +528,36 @@ def _zip_extract(spark, sf_dir):
 
 @query("schema_check")
 def _schema_check(spark, sf_dir):
-    """One verdict per archive member (kind, format, layout, status, reason)."""
-    return files.member_verdicts(files.extract_archives(spark, _drops(spark, sf_dir)))
+    """Records by the verdict on their archive member."""
+    return files.verdict_summary(files.extract_archives(spark, _drops(spark, sf_dir)))
+
+
+@query("json_quarantine")
+def _json_quarantine(spark, sf_dir):
+    """The inventory feed dropped four times: whole, cut off in the middle, with a broken last
+    line, and without a field.  Only the whole one lands and is read back."""
+    folder, root = _workdir(spark, "drops"), _workdir(spark, "landing")
+    feed = driver.inventory_snapshots(spark, sf_dir)
+    for kind, layout, rows, spoil in (
+            ("inventory_whole", "array", feed, None),
+            ("inventory_cut", "array", feed, lambda text: text[:len(text) // 2]),
+            ("inventory_broken", "lines", feed, lambda text: text + '{"inventory_id": \n'),
+            ("inventory_legacy", "array", feed.drop("sku_name"), None)):
+        files.write_drops(rows, folder, kind, "json", layout, spoil=spoil).count()
+    files.land(files.extract_archives(spark, folder), root, RUN_TS)
+    return files.read_landed_json(spark, files.landed(root, "inventory"), schemas.INVENTORY_JSON,
+                                  {"array"}, RUN_DATE, "00")
+
+
+@query("landing_paths")
+def _landing_paths(spark, sf_dir):
+    """Where the drops landed: kind, layout, date and hour of the landing folders."""
+    root = _workdir(spark, "landing")
+    files.land(files.extract_archives(spark, _drops(spark, sf_dir)), root, RUN_TS)
+    return (spark.read.text(f"{root}/landing")
+            .select("kind", "layout", F.col("ingest_date").cast("string").alias("ingest_date"),
+                    F.lpad(F.col("ingest_hour").cast("string"), 2, "0").alias("ingest_hour"))
+            .distinct())
 
 
 # --- writers -------------------------------------------------------------------
@@ -459,6 +613,54 @@ def _publish_snapshot(spark, sf_dir):
     return lake.table("mart.late_deliveries_daily")
 
 
+@query("publish_inventory")
+def _publish_inventory(spark, sf_dir):
+    """Stock published to the mart by key, first and second load; dates become dates."""
+    lake = _lake(spark, "mart")
+    name = "mart.fact_inventory"
+    lake.create_table(name, MART_TABLES[name])
+    moves = driver.inventory_movements(spark, sf_dir)
+    for part in (_before(moves, "last_updated", LOAD_CUTOFF), _since(moves, "last_updated", LOAD_CUTOFF)):
+        lake.publish_upsert(name, silver.fact_inventory(part).withColumn(
+            "last_movement_date", F.try_to_date("last_movement_date")), silver.INVENTORY_KEYS)
+    return lake.table(name)
+
+
+@query("publish_shipments")
+def _publish_shipments(spark, sf_dir):
+    """Shipments published to the mart by order, first and second load."""
+    lake = _lake(spark, "mart")
+    name = "mart.fact_shipments"
+    lake.create_table(name, MART_TABLES[name])
+    fact = silver.fact_shipments(driver.shipment_events(spark, sf_dir)).withColumn(
+        "promised_delivery_date", F.try_to_date("promised_delivery_date"))
+    first = _before(fact, "shipment_date", LOAD_CUTOFF).withColumn("carrier_name", F.lit("TBD"))
+    for part in (first, _since(fact, "shipment_date", OVERLAP_FROM)):
+        lake.publish_upsert(name, part, silver.SHIPMENT_KEYS)
+    return lake.table(name)
+
+
+@query("publish_dimensions")
+def _publish_dimensions(spark, sf_dir):
+    """The four dimensions copied to the mart twice; row counts of the copies."""
+    lake = _lake(spark, "mart")
+    dims = _staged_silver(spark, sf_dir, lake, names=DIMS).tables()
+    for name in DIMS * 2:
+        lake.publish_snapshot(f"mart.{name}", dims[name])
+    return gold.row_count_audit({f"mart.{n}": lake.table(f"mart.{n}") for n in DIMS})
+
+
+@query("append_rows")
+def _append_rows(spark, sf_dir):
+    """Rejected order lines appended in two loads."""
+    lake = _lake(spark, "append")
+    rejects = lake.stage(silver.rejected_orders(_flagged(spark, sf_dir)))
+    lake.rebuild("silver.order_rejects", rejects.where(F.col("createddate") < LOAD_CUTOFF))
+    lake.append("silver.order_rejects", rejects.where(
+        F.col("createddate").isNull() | (F.col("createddate") >= LOAD_CUTOFF)))
+    return lake.table("silver.order_rejects")
+
+
 # --- incremental source, audit, stream -------------------------------------------
 
 FIRST_EVENT_LOAD = "2024-01-15"

@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Dimensions are broadcast from their measured shuffle size, never before.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -61,8 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of shared storage for checkpoints, staging tables and stream state.
 
     Read from ``spark.checkpoint.dir`` as the cluster sets it.  Only when the
-    setting is missing (local tests) is a fresh temporary folder taken and
-    recorded in the session, so every later call sees the same place.
+    setting is missing on a local master (tests) is a fresh temporary folder
+    taken and recorded in the session, so every later call sees the same place.
     """
     sc = spark.sparkContext
     current = (spark.conf.get("spark.checkpoint.dir", None)
@@ -73,6 +75,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all workers share")
     local = tempfile.mkdtemp(prefix="quaylake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

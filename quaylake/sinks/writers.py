@@ -3,12 +3,13 @@
 Tables are Parquet, registered in the session catalog as external tables
 under one root folder (bronze, silver, gold and mart databases).  Writes:
 
-* `replace`     staged overwrite: the new contents are first written to a
-                staging folder, then copied over the target.  A path cannot
-                be overwritten while the same job reads it, and the staged
-                copy cuts the lineage so a lost executor only costs the copy.
-                Partitioned targets are overwritten partition-wise (dynamic
-                mode): only partitions present in the new rows change.
+* `replace`     new contents of a table.  An unpartitioned one is written
+                once, to a new folder, and the table's location is switched to
+                it: until then the old contents stay readable, also if the job
+                fails.  Partitioned targets are staged (a path cannot be
+                overwritten while the same job reads it) and then overwritten
+                partition-wise (dynamic mode): only partitions present in the
+                new rows change.
 * `reload_day`  idempotent daily report: today's `run_date` partition is
                 replaced (cleared when today's result is empty).
 * `append`      plain append.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,12 +106,47 @@ class Lakehouse:
         return [c.name for c in self.spark.catalog.listColumns(self.qualified(name))
                 if c.isPartition]
 
+    # --- folders ----------------------------------------------------------
+    def _folder(self, path: str):
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _remove(self, path: str) -> None:
+        """Delete a folder below this lake's root."""
+        fs, where = self._folder(path)
+        if not path.startswith(f"{self.root}/"):
+            raise ValueError(f"{path} is not below {self.root}")
+        fs.delete(where, True)
+
+    def location(self, name: str) -> str:
+        """The folder that a table's contents lie in now."""
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.qualified(name)}").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+    def _switch(self, name: str, folder: str, schema) -> None:
+        """Let a table's name point at `folder`; only then is the old folder removed."""
+        old = self.location(name) if self.exists(name) else None
+        same = old is not None and [(f.name, f.dataType) for f in self.table(name).schema] == [
+            (f.name, f.dataType) for f in schema]
+        if same:
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{folder}'")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
+            self.spark.catalog.createTable(self.qualified(name), folder, "parquet", schema)
+        self.spark.catalog.refreshTable(self.qualified(name))
+        if old is not None:
+            self._remove(self.root + old.split(self.root.split(":", 1)[-1], 1)[-1])
+
     # --- writes -----------------------------------------------------------
-    def stage(self, df: DataFrame, label: str = "stage") -> DataFrame:
-        """Write `df` to a fresh staging folder on shared storage; read it back."""
+    def _staged(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
         path = f"{self.root}/_staging/{label}-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def stage(self, df: DataFrame, label: str = "stage") -> DataFrame:
+        """Write `df` to a fresh staging folder on shared storage; read it back."""
+        return self._staged(df, label)[0]
 
     def stage_many(self, frames: dict[str, DataFrame], workers: int = 4) -> dict[str, DataFrame]:
         """Stage independent DataFrames as concurrent jobs (they share the
@@ -134,8 +171,18 @@ class Lakehouse:
         return df.hint("rebalance", *parts) if parts else df
 
     def replace(self, name: str, df: DataFrame) -> None:
-        staged = self.stage(self._conform(name, df), name.replace(".", "_"))
-        self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
+        rows = self._conform(name, df)
+        if self.partition_columns(name):
+            staged, folder = self._staged(rows, name.replace(".", "_"))
+            self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
+            self._remove(folder)
+        else:
+            self._write_and_switch(name, rows)
+
+    def _write_and_switch(self, name: str, df: DataFrame) -> None:
+        folder = f"{self.path(name)}-{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        self._switch(name, folder, df.schema)
 
     def append(self, name: str, df: DataFrame) -> None:
         self._conform(name, df).write.insertInto(self.qualified(name), overwrite=False)
@@ -144,20 +191,22 @@ class Lakehouse:
                    column: str = "run_date") -> None:
         """Replace the `run_date` partition with `df` (re-runs leave one copy)."""
         rows = self._conform(name, df.withColumn(column, F.lit(str(run_date)).cast("date")))
-        staged = self.stage(rows, name.replace(".", "_"))
+        staged, folder = self._staged(rows, name.replace(".", "_"))
         if staged.isEmpty():
+            where = f"{self.location(name)}/{column}={run_date}"
             self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS "
                            f"PARTITION ({column} = DATE'{run_date}')")
-            return
-        self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
+            # The table is external: its files would outlive the partition.
+            self._remove(self.root + where.split(self.root.split(":", 1)[-1], 1)[-1])
+        else:
+            self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
+        self._remove(folder)
 
     def rebuild(self, name: str, df: DataFrame) -> None:
-        """Create or replace `name` with the rows and schema of `df`."""
-        staged = self.stage(df, name.replace(".", "_"))
+        """Create or replace `name` with the rows and schema of `df`: written first, then
+        the name is switched to it."""
         self._create_db(name.split(".")[0])
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
-        staged.write.mode("overwrite").option("path", self.path(name)).format(
-            "parquet").saveAsTable(self.qualified(name))
+        self._write_and_switch(name, df)
 
     def merge(self, name: str, source: DataFrame, keys: list[str], **options) -> None:
         """Upsert `source` into table `name` by `keys` (see `upsert`)."""
@@ -166,8 +215,11 @@ class Lakehouse:
         if parts and set(parts) <= set(keys):
             # A match needs equal partition values: read only touched partitions
             # (the semi join lets Spark prune partitions at run time).
-            touched = source.select(*parts).distinct()
-            target = target.join(touched, parts, "left_semi")
+            # NULL partitions count as touched when the source has NULLs: the new contents
+            # of a partition must hold its old rows, whether or not they match.
+            touched = source.select(*[F.col(c).alias(f"_p_{c}") for c in parts]).distinct()
+            target = target.join(touched, reduce(lambda a, b: a & b, [
+                F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parts]), "left_semi")
         self.replace(name, upsert(target, source, keys, **options))
 
     def merge_scd2(self, name: str, source: DataFrame, key: str, compare: list[str],

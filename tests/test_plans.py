@@ -6,7 +6,6 @@ import io
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from quaylake.operators import joins
 from quaylake.operators.dedup import keep_one
 from quaylake.operators.merge import upsert
 from quaylake.plans import gold, registry
@@ -33,17 +32,24 @@ def test_keep_one_limits_rows_per_key_before_the_shuffle(spark, workdir):
     assert keep_one(df, ["k"], ["v DESC"]).where("k = 0").first()["v"] == 29997
 
 
-def test_upsert_shuffles_source_once(spark, workdir):
+def test_upsert_shuffles_each_side_once(spark, workdir):
     spark.range(100).selectExpr("id as k", "id as v").write.parquet(f"{workdir}/t")
     spark.range(50, 150).selectExpr("id as k", "id as v").write.parquet(f"{workdir}/s")
     t, s = spark.read.parquet(f"{workdir}/t"), spark.read.parquet(f"{workdir}/s")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(upsert(t, s, ["k"]))
+        merged = upsert(t, s, ["k"])
+        assert merged.count() == 150
+        merged.collect()
+        final = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "FullOuter" in text
-    assert "coalesce(k" not in text, "no null-safe re-partitioning on the default path"
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "FullOuter" in final
+    assert final.count("Exchange hashpartitioning") == 2, final
+    # Twice each: the rows to join, and those with a NULL key (pruned by the filter).
+    assert final.count("FileScan parquet") == 4
+    assert final.count("isnull(k") == 2
 
 
 def test_report_filters_reach_the_scan(spark, workdir):
@@ -53,20 +59,18 @@ def test_report_filters_reach_the_scan(spark, workdir):
     assert "ReadSchema: struct<createddate:date,quantity:int,product_id:int>" in text
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small = spark.range(10)
-    assert joins.fits_broadcast(small, 10) and not joins.fits_broadcast(small, 9)
-    hinted = plan(joins.bounded_broadcast(small, 10), "extended")
-    assert "strategy=broadcast" in hinted
-    unhinted = plan(joins.bounded_broadcast(spark.range(1000), 100), "extended")
-    assert "strategy=broadcast" not in unhinted
-
-
-def test_broadcast_bound_from_session_setting(spark):
-    spark.conf.set(joins.ROW_LIMIT_SETTING, "5")
+def test_building_reports_runs_no_job(spark):
+    s = registry._staged_silver(spark, SF001)
+    spark.sparkContext.setJobGroup("build-only", "reports are plans")
     try:
-        assert not joins.fits_broadcast(spark.range(10))
-        assert "strategy=broadcast" not in plan(joins.bounded_broadcast(spark.range(10)), "extended")
+        registry.gold_tables(s)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")
     finally:
-        spark.conf.unset(joins.ROW_LIMIT_SETTING)
-    assert joins.fits_broadcast(spark.range(10))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_dimensions_are_broadcast_from_measured_size(spark):
+    s = registry._staged_silver(spark, SF001)
+    df = gold.sales_summary(s)
+    df.collect()
+    assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
