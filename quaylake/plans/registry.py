@@ -116,6 +116,32 @@ def _order_lead_time(spark, sf_dir):
     return gold.order_lead_time(_silver(spark, sf_dir), RUN_DATE)
 
 
+def _many_warehouses(spark, sf_dir):
+    """Silver where products lie in several warehouses."""
+    return silver.Silver(**{**_silver(spark, sf_dir).tables(), "fact_inventory":
+                            silver.fact_inventory(driver.warehouse_stock(spark, sf_dir))})
+
+
+@query("supply_chain_summary_warehouses")
+def _supply_chain_summary_warehouses(spark, sf_dir):
+    return gold.supply_chain_summary(_many_warehouses(spark, sf_dir))
+
+
+@query("order_stock_shortage_warehouses")
+def _order_stock_shortage_warehouses(spark, sf_dir):
+    return gold.order_stock_shortage(_many_warehouses(spark, sf_dir), RUN_DATE)
+
+
+@query("upcoming_stock_shortage_warehouses")
+def _upcoming_stock_shortage_warehouses(spark, sf_dir):
+    return gold.upcoming_stock_shortage(_many_warehouses(spark, sf_dir), RUN_DATE)
+
+
+@query("inventory_levels_warehouses")
+def _inventory_levels_warehouses(spark, sf_dir):
+    return gold.inventory_levels(_many_warehouses(spark, sf_dir))
+
+
 @query("top_supplier_sales")
 def _top_supplier_sales(spark, sf_dir):
     return gold.top_supplier_sales(gold.sales_by_supplier_daily(_silver(spark, sf_dir), RUN_TS))
@@ -151,6 +177,12 @@ def _order_rejects(spark, sf_dir):
     return silver.rejected_orders(_flagged(spark, sf_dir))
 
 
+@query("order_quality_defects")
+def _order_quality_defects(spark, sf_dir):
+    """The rules on a feed where each of them fires; dates arrive as text."""
+    return silver.flag_orders(driver.defective_order_lines(spark, sf_dir))
+
+
 @query("dedup_orders")
 def _dedup_orders(spark, sf_dir):
     return silver.fact_sales_order(silver.valid_orders(_flagged(spark, sf_dir)))
@@ -161,6 +193,12 @@ def _dedup_inventory(spark, sf_dir):
     return silver.fact_inventory(driver.inventory_movements(spark, sf_dir))
 
 
+@query("dedup_warehouse_stock")
+def _dedup_warehouse_stock(spark, sf_dir):
+    """Stock of products in several warehouses each; times arrive as text."""
+    return silver.fact_inventory(driver.warehouse_stock(spark, sf_dir))
+
+
 @query("dedup_shipments")
 def _dedup_shipments(spark, sf_dir):
     return silver.fact_shipments(driver.shipment_events(spark, sf_dir))
@@ -260,6 +298,15 @@ def _upsert_partial(spark, sf_dir):
                   update_cols=SUMMARY_MEASURES, null_safe_keys=True, check_duplicates=False)
 
 
+@query("upsert_warehouse_stock")
+def _upsert_warehouse_stock(spark, sf_dir):
+    """Stock keyed by product and warehouse, several of them each: the first load's movements,
+    then the later ones."""
+    stock = silver.fact_inventory(driver.warehouse_stock(spark, sf_dir))
+    target = _before(stock, "last_updated", LOAD_CUTOFF).withColumn("stock_level", F.lit(0).cast("bigint"))
+    return upsert(target, _since(stock, "last_updated", OVERLAP_FROM), silver.INVENTORY_KEYS)
+
+
 @query("upsert_shipments")
 def _upsert_shipments(spark, sf_dir):
     """Shipment fact by order: the first load had no carrier yet."""
@@ -417,6 +464,23 @@ def _scd2_null_keys(spark, sf_dir):
 LOST_REGION = "AFRICA"
 
 
+def _one_change_each(df, key, columns):
+    """Each row with one of its compared columns changed, or none; all columns come up."""
+    which = F.col(key).cast("bigint") % (len(columns) + 1)
+    return df.select(*[
+        F.when(which == columns.index(c), F.concat(F.col(c), F.lit("*"))).otherwise(F.col(c)).alias(c)
+        if c in columns else F.col(c) for c in df.columns])
+
+
+@query("scd2_customer_changes")
+def _scd2_customer_changes(spark, sf_dir):
+    """Customers that change in every compared column, one column each, or not at all."""
+    target = _customer_dim_as_of(spark, sf_dir, LOAD_TS, before=LOAD_CUTOFF)
+    source = _one_change_each(_customer_dim_as_of(spark, sf_dir, RUN_TS), "customer_id",
+                              silver.CUSTOMER_COMPARE)
+    return scd2(target, source, "customer_id", silver.CUSTOMER_COMPARE, RUN_TS)
+
+
 @query("scd2_supplier")
 def _scd2_supplier(spark, sf_dir):
     """Supplier dimension, first load then the suppliers active since."""

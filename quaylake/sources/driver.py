@@ -149,6 +149,51 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def defective_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order feed with every kind of defect, spread over all lines by line number and
+    product: missing and negative values, and dates as text, some out of order."""
+    lines = order_lines(spark, sf_dir)
+    kind = (F.col("product_id") + F.col("salesorderlinenumber")) % 11
+
+    def broken(name: str, number: int, value=None) -> Column:
+        bad = F.lit(None) if value is None else value
+        return F.when(kind == number, bad.cast(lines.schema[name].dataType)).otherwise(F.col(name))
+
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return lines.select(
+        "salesordernumber", "salesorderlinenumber",
+        text(broken("createddate", 8)).alias("createddate"),
+        text(broken("processeddate", 9, F.date_sub("createddate", 1))).alias("processeddate"),
+        "ordertype",
+        F.when(kind == 0, F.lit(None).cast("int")).when(kind == 1, -F.col("quantity"))
+        .otherwise(F.col("quantity")).alias("quantity"),
+        broken("unitprice", 3).alias("unitprice"),
+        broken("taxamount", 2, -1 - F.col("taxamount")).alias("taxamount"),
+        broken("customer_id", 4).alias("customer_id"),
+        broken("product_id", 5).alias("product_id"),
+        broken("supplier_id", 6).alias("supplier_id"),
+        broken("warehouse_id", 7).alias("warehouse_id"),
+    )
+
+
+def warehouse_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock records of products that lie in several warehouses each (one for every
+    warehouse that a supplier of the product ships from), with times as text."""
+    lines = (table(spark, sf_dir, "lineitem")
+             .groupBy("l_partkey", (F.col("l_suppkey") % WAREHOUSE_COUNT).cast("string").alias("wh"))
+             .agg(F.max("l_quantity").cast("bigint").alias("stock"), F.max("l_shipdate").alias("moved")))
+    snap = inventory_snapshots(spark, sf_dir)
+    stock = snap.join(lines, snap.product_id == lines.l_partkey.cast("string"))
+    return stock.select(
+        F.concat("inventory_id", F.lit("-"), "wh").alias("inventory_id"), "product_id", "sku_name",
+        F.col("wh").alias("warehouse_id"), F.col("stock").alias("stock_level"), "daily_usage_rate",
+        "unit_cost", "reorder_point", "product_category", "supplier_id",
+        F.when(F.col("stock") < F.col("reorder_point"), "LOW").otherwise("OK").alias("inventory_status"),
+        F.col("moved").cast("date").cast("string").alias("last_movement_date"),
+        F.date_format("moved", "yyyy-MM-dd HH:mm:ss").alias("last_updated"),
+    )
+
+
 def inventory_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stock record per product in its warehouse, as the inventory feed sends it.
 
@@ -258,31 +303,31 @@ def loyalty_tier(orders: Column) -> Column:
     return F.when(orders >= 12, "Gold").when(orders >= 6, "Silver").otherwise("Bronze")
 
 
+def _touches(df: DataFrame, key: str, time: str, before: str | None) -> DataFrame:
+    """First, last and number of the touches of each key (before a time)."""
+    moment = F.col(time).cast("timestamp")
+    if before is not None:
+        df = df.where(moment < F.lit(before).cast("timestamp"))
+    return df.groupBy(key).agg(F.min(moment).alias("CreatedAt"), F.max(moment).alias("UpdatedAt"),
+                               F.count(F.lit(1)).alias("touches"))
+
+
 def customer_snapshot(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
     """Bronze customers as of `before`: those with an order before it, with
-    CreatedAt / UpdatedAt = first / last such order and their order count."""
-    changes = customer_changes(spark, sf_dir)
-    if before is not None:
-        changes = changes.where(F.col("UpdatedAt") < F.lit(before).cast("timestamp"))
-    static = [c for c in changes.columns if c not in ("CreatedAt", "UpdatedAt")]
-    return changes.groupBy(*static).agg(
-        F.min("UpdatedAt").alias("CreatedAt"),
-        F.max("UpdatedAt").alias("UpdatedAt"),
-        F.count(F.lit(1)).alias("order_count"),
-    )
+    CreatedAt / UpdatedAt = first / last such order and their order count.  Orders are
+    summed up by their integer key before they meet the wide customer rows."""
+    base = source_customer(spark, sf_dir).drop("CreatedAt", "UpdatedAt")
+    touches = _touches(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", before)
+    return base.join(touches, base.CustomerID == touches.o_custkey.cast("int")).select(
+        *base.columns, "CreatedAt", "UpdatedAt", F.col("touches").alias("order_count"))
 
 
 def supplier_snapshot(spark: SparkSession, sf_dir: str, before: str | None = None,
                       large_from: int = 300) -> DataFrame:
     """Bronze suppliers as of `before`; BusinessCategory is 'Large' once the
     supplier has shipped `large_from` lines, else 'Small'."""
-    changes = supplier_changes(spark, sf_dir)
-    if before is not None:
-        changes = changes.where(F.col("UpdatedAt") < F.lit(before).cast("timestamp"))
-    static = [c for c in changes.columns
-              if c not in ("CreatedAt", "UpdatedAt", "BusinessCategory")]
-    return changes.groupBy(*static).agg(
-        F.min("UpdatedAt").alias("CreatedAt"),
-        F.max("UpdatedAt").alias("UpdatedAt"),
-        F.when(F.count(F.lit(1)) >= large_from, "Large").otherwise("Small").alias("BusinessCategory"),
-    )
+    base = source_supplier(spark, sf_dir).drop("CreatedAt", "UpdatedAt", "BusinessCategory")
+    touches = _touches(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate", before)
+    return base.join(touches, base.SupplierID == touches.l_suppkey.cast("string")).select(
+        *base.columns, "CreatedAt", "UpdatedAt",
+        F.when(F.col("touches") >= large_from, "Large").otherwise("Small").alias("BusinessCategory"))
