@@ -12,6 +12,8 @@ writes are keyed or partition-replacing, so re-running is harmless.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from .. import schemas
 from ..operators.dedup import keep_one
 from ..sinks.writers import Lakehouse
 from ..sources import files
-from ..sources.incremental import SOURCES, Bookmarks, read_jdbc
+from ..sources.incremental import JDBC_PARTITIONS, SOURCES, Bookmarks, read_jdbc
 from . import gold, silver
 
 GOLD_MERGES = {
@@ -46,6 +48,7 @@ DAILY_REPORTS = {
     "gold.upcoming_stock_shortage": lambda s, d: gold.upcoming_stock_shortage(s, d),
     "gold.sales_order_lead_time": lambda s, d: gold.order_lead_time(s, d),
 }
+PROCESSED = "bronze.processed_files"
 AUDIT_TABLES = [
     "silver.dim_customer", "silver.dim_product", "silver.dim_supplier", "silver.dim_warehouse",
     "silver.fact_inventory", "silver.fact_sales_order", "silver.fact_shipments",
@@ -66,9 +69,9 @@ def _now(run_ts):
 
 def run_dimensions(spark: SparkSession, lake: Lakehouse, url: str, properties: dict,
                    bookmarks: Bookmarks, run_ts, sources=SOURCES,
-                   partitions: int = 1) -> dict[str, int]:
+                   partitions: int = JDBC_PARTITIONS) -> dict[str, int]:
     """Incremental load of each relational source; returns rows read per source.
-    `partitions` > 1 reads each source with that many parallel range queries."""
+    Each source is read with `partitions` parallel range queries."""
     lake.create_all()
     read = {}
     for src in sources:
@@ -113,17 +116,25 @@ def _load_dimension(lake: Lakehouse, name: str, increment: DataFrame, run_ts) ->
 
 def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: str,
               run_ts, metrics: dict | None = None, workers: int = 3) -> DataFrame:
-    """Check and land the drops, load the three silver facts, publish them.
-
-    Returns the member verdicts (accepted, rejected, skipped).  A kind with
-    no accepted member is skipped.  Invalid order lines are kept in
-    silver.order_rejects instead of being dropped silently.  If a `metrics`
-    dict is given, it receives the order-line counts ("order_lines":
-    {"lines", "rejected"}).
+    """Check and land the new drops, load the three silver facts, publish them.
+
+    Only archives that no earlier run finished are read (bronze.processed_files; an archive
+    that changed counts as new).  Returns the member verdicts (accepted, rejected, skipped).
+    A kind with no accepted member is skipped.  Invalid order lines are kept in
+    silver.order_rejects, in one partition for each set of archives, which a repeated run
+    over the same set replaces.  If a `metrics` dict is given, it receives the order-line
+    counts ("order_lines": {"lines", "rejected"}).
     """
     lake.create_all()
+    lake.create_table(PROCESSED, "path string, modificationTime timestamp, length bigint, run_ts timestamp", [])
     metrics = {} if metrics is None else metrics
-    lines = lake.stage(files.extract_archives(spark, drops), "drop-lines")
+    mark = ["path", "modificationTime", "length"]
+    new = lake.stage(files.archives(spark, drops).join(lake.table(PROCESSED), mark, "left_anti"), "new-archives")
+    paths = sorted(r["path"] for r in new.select("path").collect())     # names, as in any listing
+    batch = hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
+    lines = lake.stage(files.extract_archives(spark, paths), "drop-lines")
+    if not paths:
+        return files.member_verdicts(lines)
     files.land(lines, landing_root, run_ts)
     stamp = spark.range(1).select(
         F.date_format(_now(run_ts), "yyyy-MM-dd").alias("d"),
@@ -142,11 +153,12 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
                 F.count(F.lit(1)).alias("lines"),
                 F.sum(F.col("error_flag")).alias("rejected")), "orders-flagged")
         metrics["order_lines"] = quality.get
-        rejects = silver.rejected_orders(flagged).withColumn("run_ts", _now(run_ts))
+        rejects = (silver.rejected_orders(flagged).withColumn("run_ts", _now(run_ts))
+                   .withColumn("batch", F.lit(batch)))
         if not lake.exists("silver.order_rejects"):
-            lake.rebuild("silver.order_rejects", rejects)
-        else:
-            lake.append("silver.order_rejects", rejects)
+            ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rejects.schema)
+            lake.create_table("silver.order_rejects", ddl, ["batch"])
+        lake.replace("silver.order_rejects", rejects)
         fact = silver.fact_sales_order(silver.valid_orders(flagged))
         lake.merge("silver.fact_sales_order", fact, silver.ORDER_KEYS, check_duplicates=False)
         lake.publish_upsert("mart.fact_sales_order", fact, silver.ORDER_KEYS)
@@ -179,6 +191,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     _run_all([lambda d=dim: lake.publish_snapshot(f"mart.{d}", lake.table(f"silver.{d}"))
               for dim in ("dim_customer", "dim_product", "dim_supplier", "dim_warehouse")],
              workers)
+    lake.append(PROCESSED, new.withColumn("run_ts", _now(run_ts)))      # last: all is written
     return files.member_verdicts(lines)
 
 

@@ -122,7 +122,8 @@ class Lakehouse:
     def location(self, name: str) -> str:
         """The folder that a table's contents lie in now."""
         rows = self.spark.sql(f"DESCRIBE EXTENDED {self.qualified(name)}").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+        # After the columns, of which one may have that name.
+        return [r["data_type"] for r in rows if r["col_name"] == "Location"][-1]
 
     def _switch(self, name: str, folder: str, schema) -> None:
         """Let a table's name point at `folder`; only then is the old folder removed."""
@@ -181,7 +182,11 @@ class Lakehouse:
 
     def _write_and_switch(self, name: str, df: DataFrame) -> None:
         folder = f"{self.path(name)}-{uuid.uuid4().hex}"
-        df.write.parquet(folder)
+        try:
+            df.write.parquet(folder)
+        except Exception:
+            self._remove(folder)
+            raise
         self._switch(name, folder, df.schema)
 
     def append(self, name: str, df: DataFrame) -> None:

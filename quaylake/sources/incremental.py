@@ -37,6 +37,10 @@ SOURCES = [
 # ---------------------------------------------------------------------------
 
 
+#: Parallel range queries of a JDBC read by default.
+JDBC_PARTITIONS = 8
+
+
 def above_mark(df: DataFrame, ts_col: str, mark) -> DataFrame:
     """Rows changed after `mark` (all rows on the first run, mark None)."""
     if mark is None:
@@ -45,7 +49,7 @@ def above_mark(df: DataFrame, ts_col: str, mark) -> DataFrame:
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, ts_col: str, mark=None,
-              properties: dict | None = None, partitions: int = 1) -> DataFrame:
+              properties: dict | None = None, partitions: int = JDBC_PARTITIONS) -> DataFrame:
     """Incremental JDBC read.
 
     With `partitions` > 1 the read is split into that many parallel range
@@ -73,17 +77,33 @@ def read_jdbc(spark: SparkSession, url: str, table: str, ts_col: str, mark=None,
 
 
 class Bookmarks:
-    """Bookmark table (source, mark) kept as a small Parquet table."""
+    """Bookmark table (source, mark), kept as small Parquet versions below `path`.
+
+    A new version is written beside the old one and counts once it is complete, so a crash at
+    any point leaves the last complete version in force."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
+    def _folder(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _versions(self) -> list[int]:
+        """Numbers of the complete versions, in order."""
+        fs, where = self._folder(self.path)
+        if not fs.exists(where):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(where)]
+        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()
+                      and fs.exists(self._folder(f"{self.path}/{n}/_SUCCESS")[1]))
+
     def _read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(BOOKMARK_DDL).parquet(self.path)
-        except Exception:  # noqa: BLE001 - no bookmark written yet
+        versions = self._versions()
+        if not versions:
             return None
+        return self.spark.read.schema(BOOKMARK_DDL).parquet(f"{self.path}/v{versions[-1]}")
 
     def get(self, source: str) -> datetime | None:
         marks = self._read()
@@ -98,11 +118,13 @@ class Bookmarks:
         new = increment.agg(F.max(ts_col).alias("m")).first()["m"]
         if new is None:
             return self.get(source)
-        old = self._read()
+        versions, old = self._versions(), self._read()
         row = self.spark.createDataFrame(
             [(source, new, datetime.fromisoformat(str(run_ts)))], BOOKMARK_DDL)
         rows = row if old is None else old.where(F.col("source") != source).unionByName(row)
-        staged = f"{self.path}.next"
-        rows.coalesce(1).write.mode("overwrite").parquet(staged)
-        self.spark.read.parquet(staged).write.mode("overwrite").parquet(self.path)
+        number = versions[-1] + 1 if versions else 1
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/v{number}")
+        for stale in versions[:-1]:        # the version before stays for readers
+            fs, where = self._folder(f"{self.path}/v{stale}")
+            fs.delete(where, True)
         return new

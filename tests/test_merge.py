@@ -109,3 +109,16 @@ def test_scd2_rejects_duplicate_source_keys(spark):
     dup = version(spark, [(1, "a", "X"), (1, "b", "Y")])
     with pytest.raises(PySparkException, match="several source rows"):
         scd2(empty, dup, "id", ["name", "city"], "2024-01-01").collect()
+
+
+def test_scd2_null_keys_are_new_versions_either_way(spark):
+    ddl = ("k int, v string, start_date timestamp, end_date timestamp, is_current boolean, "
+           "created_at timestamp, updated_at timestamp")
+    target = spark.createDataFrame([(1, "a", None, None, True, None, None),
+                                    (None, "n", None, None, True, None, None)], ddl)
+    source = spark.createDataFrame([(1, "b"), (None, "x"), (None, "y")], "k int, v string")
+    runs = [sorted((str(r["k"]), r["v"], r["is_current"]) for r in scd2(
+        target, source, "k", ["v"], "2024-01-01 00:00:00", check_duplicates=check).collect())
+        for check in (True, False)]
+    assert runs[0] == runs[1] == [("1", "a", False), ("1", "b", True), ("None", "n", True),
+                                  ("None", "x", True), ("None", "y", True)]

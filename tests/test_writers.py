@@ -1,8 +1,9 @@
 """Lakehouse writes: daily reload, empty reload, staged replace, rebuild, merge."""
 
+import os
 import uuid
 
-
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -46,3 +47,39 @@ def test_replace_and_rebuild(spark, workdir):
     lake.rebuild("gold.r", spark.createDataFrame([(5, 6.0)], "x int, y double"))
     assert rows(lake.table("gold.r")) == [(5, 6.0)]
     assert lake.list_tables("gold") == ["gold.r"]
+
+
+def test_merge_keeps_rows_of_the_null_partition(spark, workdir):
+    lake = Lakehouse(spark, f"{workdir}/lake", prefix=f"t{uuid.uuid4().hex[:8]}_")
+    lake.create_table("silver.n", "k int, v string, p string", ["p"])
+    lake.replace("silver.n", spark.createDataFrame([(1, "old", None), (2, "old", "a")], "k int, v string, p string"))
+    source = spark.createDataFrame([(1, "new", None), (2, "new", "a")], "k int, v string, p string")
+    lake.merge("silver.n", source, ["p", "k"])
+    assert sorted((r["k"], r["v"], r["p"]) for r in lake.table("silver.n").collect() if r["p"]) == [(2, "new", "a")]
+    assert sorted(r["v"] for r in lake.table("silver.n").where("p is null").collect()) == ["new", "old"]
+    lake.merge("silver.n", source, ["p", "k"], null_safe_keys=True, check_duplicates=False)
+    assert {r["v"] for r in lake.table("silver.n").where("p is null").collect()} == {"new"}
+
+
+def test_a_failed_replace_leaves_the_old_contents(spark, workdir):
+    lake = Lakehouse(spark, f"{workdir}/lake", prefix=f"t{uuid.uuid4().hex[:8]}_")
+    lake.rebuild("gold.r", spark.createDataFrame([(1, "a")], "k int, v string"))
+    bad = lake.table("gold.r").withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    for write in (lake.replace, lake.rebuild):
+        with pytest.raises(Exception, match="broken"):
+            write("gold.r", bad)
+        assert rows(lake.table("gold.r")) == [(1, "a")]
+    lake.replace("gold.r", lake.table("gold.r").withColumn("v", F.lit("b")))
+    assert rows(lake.table("gold.r")) == [(1, "b")]
+    folders = [n for n in os.listdir(f"{workdir}/lake/gold") if n.startswith("r")]
+    assert len(folders) == 1, "the old folder is removed after the switch"
+
+
+def test_cleared_day_leaves_no_files(spark, workdir):
+    lake = Lakehouse(spark, f"{workdir}/lake", prefix=f"t{uuid.uuid4().hex[:8]}_")
+    lake.create_table("gold.rep", REPORT, ["run_date"])
+    day = spark.createDataFrame([(3,)], "k int")
+    lake.reload_day("gold.rep", day, "2024-01-02")
+    lake.reload_day("gold.rep", day.where("k < 0"), "2024-01-02")
+    assert not os.path.exists(f"{workdir}/lake/gold/rep/run_date=2024-01-02")
+    assert os.listdir(f"{workdir}/lake/_staging") == []
