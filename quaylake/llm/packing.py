@@ -17,9 +17,12 @@ one token at least.  Repeated rows are packed one by one.
 
 from __future__ import annotations
 
+import os
+import string
+import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,35 +31,69 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quaylake.llm.common import PieceCache
+from quaylake.llm.pretokens import byte_of_character
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 CAPACITY = 4096
 _ID_BYTES = 4
 _FLUSH = 20_000
+#: ASCII marks that close a word; the apostrophe opens contractions and is none.
+_MARKS = "".join(c for c in string.punctuation if c != "'")
+
+
+def _packed(ids: Iterable[int]) -> bytes:
+    ids = tuple(ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, memoised by white-space-separated chunk.
 
-    Holds for tokenizers that drop white space and split at it (checked on loading): then a
-    chunk's ids do not depend on its neighbours."""
+    Holds for byte-level tokenizers that drop white space, split at it and between letters and
+    other marks, and lower-case (checked on loading): then a chunk's ids do not depend on its
+    neighbours.  A chunk of letters up to U+017F and closing marks is a lower-cased word, given
+    to the library's merges directly, and its marks; there normal forms change nothing.  Any
+    other chunk is given to the library as it stands."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # tasks run side by side
         self.tokenizer = Tokenizer.from_file(path)
-        probe = ["a b", "a\n b", "don't, x9 <|endoftext|> 'll"]
-        for text in probe:
-            if self._ids(text) != [i for chunk in text.split() for i in self._ids(chunk)]:
-                raise ValueError("chunks between white space are not independent")
+        self.merges = self.tokenizer.model.tokenize
+        self.bytes = {byte: character for character, byte in byte_of_character().items()}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.words = PieceCache(lambda words: [self._ids_of_word(w) for w in words])
         self.cache = PieceCache(self._fill)
+        for probe in ("a b", "a\n b", "don't, x9 <|endoftext|> 'll", "Été, Straße;\t(ÑANDÚ) ĲŒ... #a#!"):
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            if self.packed(probe) != _packed(whole):
+                raise ValueError("chunks between white space are not independent")
+
+    def _ids_of_word(self, word: str) -> bytes:
+        return _packed(t.id for t in self.merges(word.encode().decode("latin-1").translate(self.bytes)))
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _fill(self, chunks: list[bytes]) -> list[bytes]:
-        texts = [c.decode() for c in chunks]
-        return [b"".join(i.to_bytes(_ID_BYTES, "little") for i in e.ids)
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        parts, words, others = [], set(), []
+        for chunk in chunks:
+            text = chunk.decode()
+            word = text.rstrip(_MARKS)
+            lower = word.lower()
+            if word.isalpha() and max(word) <= "\u017f" and lower.isalpha():
+                marks = text[len(word):]
+                if marks not in self.marks:
+                    if len(self.marks) > _FLUSH:
+                        self.marks = {"": b""}
+                    self.marks[marks] = self._library([marks])[0]
+                parts.append((lower, self.marks[marks]))
+                words.add(lower)
+            else:
+                parts.append(None)
+                others.append(text)
+        known, rest = self.words.table(words), iter(self._library(others))
+        return [next(rest) if part is None else known[part[0]] + part[1] for part in parts]
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""

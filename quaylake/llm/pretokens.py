@@ -49,3 +49,11 @@ def uncut(piece: str) -> str:
 
 def compiled(pattern: str) -> regex.Pattern:
     return regex.compile(pattern)
+
+
+def byte_of_character() -> dict[str, int]:
+    """The public byte-level alphabet: printable Latin-1 bytes stand for themselves, the other
+    bytes, in order, for the characters from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}

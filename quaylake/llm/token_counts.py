@@ -11,6 +11,7 @@ Empty or null text: no tokens, no bytes.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame
@@ -19,23 +20,16 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from quaylake.llm.common import PieceCache, map_batches
-from quaylake.llm.pretokens import compiled, cut, uncut
+from quaylake.llm.pretokens import byte_of_character, compiled, cut, uncut
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
-def _byte_of_character() -> dict[str, int]:
-    """The public byte-level alphabet: printable Latin-1 bytes stand for themselves, the other
-    bytes, in order, for the characters from 256 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Counter:
     """Counts the tokens of a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str, pattern: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # tasks run side by side
         self.tokenizer = Tokenizer.from_file(path)
         if (self.tokenizer.normalizer is not None
                 or not isinstance(self.tokenizer.pre_tokenizer, ByteLevel)):
@@ -49,7 +43,7 @@ class Counter:
 
     def _whole_tokens(self, added: set[str]) -> frozenset[str]:
         """Vocabulary strings proven to encode alone, as one pre-token, as one token."""
-        to_byte, strings = _byte_of_character(), []
+        to_byte, strings = byte_of_character(), []
         for token in self.tokenizer.get_vocab(with_added_tokens=False):
             if token not in added and all(c in to_byte for c in token):
                 try:
