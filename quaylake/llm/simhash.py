@@ -102,6 +102,8 @@ def _refined(rows: DataFrame, masks: list[int]) -> DataFrame:
         F.lit(_signed(m)), F.array(*[F.lit(_signed(f)) for f in finer(m)]))])
     split = (rows.select(F.explode(next_masks[F.col("mask")]).alias("mask"), "fp")
              .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
+    if masks != [0]:
+        split = split.distinct()        # several buckets may share a finer one
     sizes = split.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return split.join(sizes, ["mask", "key"])
 
@@ -115,7 +117,7 @@ def buckets(distinct: DataFrame, bucket_rows: int = 256) -> DataFrame:
         fits = F.col("n") <= bucket_rows
         parts.append((rows.filter(fits) if level < 2 else rows).select("mask", "key", "fp"))
         rows = rows.filter(~fits).select("mask", "fp")
-        masks = [f for m in masks for f in finer(m)]
+        masks = sorted({f for m in masks for f in finer(m)})
         if rows.isEmpty():
             break
     found = parts[0]
