@@ -151,15 +151,20 @@ def learn(values: np.ndarray, labels: np.ndarray, bins: int = 64, longest: int =
     rules: list[Rule] = []
     while (left & bad & ~pruning).any() and len(rules) < most:
         grow, prune = left & ~pruning, left & pruning
+
+        def precise(rule: list[int]) -> bool:
+            covered = holds[rule].all(0) & left
+            return (covered & bad).sum() >= max(1, least_precision * covered.sum())
+
         rule = _grow(holds[:, grow], bad[grow], longest)
-        while len(rule) > 1 and (_worth(holds[:, prune], rule[:-1], bad[prune])
-                                 >= _worth(holds[:, prune], rule, bad[prune])):
+        while len(rule) > 1 and precise(rule[:-1]) and (
+                _worth(holds[:, prune], rule[:-1], bad[prune])
+                >= _worth(holds[:, prune], rule, bad[prune])):
             rule = rule[:-1]
-        covered = holds[rule].all(0) & left
-        if not rule or (covered & bad).sum() < max(1, least_precision * covered.sum()):
+        if not rule or not precise(rule):
             break
         rules.append(tuple(conditions[i] for i in rule))
-        left &= ~covered
+        left &= ~holds[rule].all(0)
     return rules
 
 
