@@ -78,4 +78,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bpe_round_trip, op2_ppm_scores, op3_pivot_top_k, op4_simhash_groups, op5_token_counts,
         op6_harmonic_packing, op7_hash_tree_shards, op8_decision_list, op9_language_id, op10_url_filter)}
 
-ORACLE: dict[str, str] = {}
+#: The other operators' methods (hashes, tokenizers, learned models) have no SQL form; they are
+#: tested against brute force, the tokenizer libraries and held-out texts.
+ORACLE: dict[str, str] = {
+    "op3_pivot_top_k": """
+WITH v AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+),
+ranked AS (
+  SELECT query_id, CAST(ROW_NUMBER() OVER (
+           PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}

@@ -212,5 +212,9 @@ def kept_documents(df: DataFrame, rules: list[Rule], text_col: str = "text") ->
     prefix = "quality_rules_"
     while any(c.lower().startswith(prefix) for c in df.columns):
         prefix += "_"
-    return judged(df, rules, text_col, prefix).filter(F.col(f"{prefix}kept")).select(
-        *[F.col(f"`{c}`") for c in df.columns])
+    # Pushed below the features, the filter would repeat their whole expressions for every use;
+    # a non-deterministic column keeps it above them, so each is computed once a row.
+    place = f"{prefix}place"
+    return (judged(df, rules, text_col, prefix).withColumn(place, F.spark_partition_id())
+            .filter(F.col(f"{prefix}kept") & (F.col(place) >= 0))
+            .select(*[F.col(f"`{c}`") for c in df.columns]))
