@@ -136,23 +136,21 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id",
     """Per row of `df` all its columns and a struct `lang_id` of lang_pred, score, rejected.
 
     The model goes to the workers with the task: its size is centroids times dimension."""
-    carried = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    texts = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                      F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters"),
-                      carried)
+    texts = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                      F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters"))
     schema = f"row {texts.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean"
 
     def make():
         def step(batch):
             langs, scores = [], []
-            for counts in ngram_counts(batch.column(0), len(model.idf)):
+            for counts in ngram_counts(pc.fill_null(batch.column(0).field(text_col), ""), len(model.idf)):
                 part, cosines = model.predict(counts)
                 langs += part
                 scores += cosines.tolist()
             letters = batch.column(1).to_pylist()
             langs = [lang if ok else UNKNOWN for lang, ok in zip(langs, letters)]
             scores = [score if ok else 0.0 for score, ok in zip(scores, letters)]
-            return {"row": batch.column(2), "lang_pred": langs, "score": scores,
+            return {"row": batch.column(0), "lang_pred": langs, "score": scores,
                     "rejected": [lang == UNKNOWN or score < model.thresholds[lang]
                                  for lang, score in zip(langs, scores)]}
 

@@ -38,6 +38,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 CAPACITY = 4096
 _ID_BYTES = 4
 _FLUSH = 20_000
+_MEMO = 150_000                 # remembered chunks and words, in each of two generations
 #: ASCII marks that close a word; the apostrophe opens contractions and is none.
 _MARKS = "".join(c for c in string.punctuation if c != "'")
 
@@ -62,8 +63,8 @@ class WordEncoder:
         self.merges = self.tokenizer.model.tokenize
         self.bytes = {byte: character for character, byte in byte_of_character().items()}
         self.marks: dict[str, bytes] = {"": b""}
-        self.words = PieceCache(lambda words: [self._ids_of_word(w) for w in words])
-        self.cache = PieceCache(self._fill)
+        self.words = PieceCache(lambda words: [self._ids_of_word(w) for w in words], _MEMO)
+        self.cache = PieceCache(self._fill, _MEMO)
         for probe in ("a b", "a\n b", "don't, x9 <|endoftext|> 'll", "Été, Straße;\t(ÑANDÚ) ĲŒ... #a#!"):
             whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
             if self.packed(probe) != _packed(whole):

@@ -68,15 +68,14 @@ def fingerprint(text: str, words_per_shingle: int = 3) -> int:
 
 def with_fingerprint(df: DataFrame, text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
     """(row, fp): every row's columns as a struct, and its fingerprint as a signed long."""
-    rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                     F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, fp long"
 
     def make():
         def step(batch):
-            found = np.array([fingerprint(t.as_py(), words_per_shingle) for t in batch.column(0)],
-                             np.uint64)
-            return {"row": batch.column(1), "fp": found.view(np.int64)}
+            found = np.array([fingerprint(t.as_py() or "", words_per_shingle)
+                              for t in batch.column(0).field(text_col)], np.uint64)
+            return {"row": batch.column(0), "fp": found.view(np.int64)}
         return step
 
     return map_batches(rows, schema, make)
