@@ -205,3 +205,15 @@ def test_weightless_trees_and_no_rows(spark):
         hash_tree.descend(spark.range(1).selectExpr("cast(id as string) k"), "k", {"r": {"q": {0: 0.0}}}, "s")
     none = spark.createDataFrame([], "doc_id long, text string")
     assert hash_tree.assign(none, 16).collect() == []
+
+
+def test_top_k_equals_its_sql(spark):
+    import duckdb
+
+    from quaylake.llm import registry
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf}/embeddings.parquet')")
+    want = con.sql(registry.ORACLE["op3_pivot_top_k"]).fetchall()
+    assert sorted(map(tuple, registry.op3_pivot_top_k(spark, sf).collect())) == sorted(want)
