@@ -144,6 +144,30 @@ def test_scores_without_training_texts_or_rows(spark):
     assert scored(spark.createDataFrame([], "doc_id long, text string")) == []
 
 
+def test_blocks_are_bounded_whatever_the_ids(spark):
+    draw = random.Random(5)
+    rows = [(None if i % 3 else 7, prose(draw, "en", draw.randint(1, 40))) for i in range(300)]
+    rows += [(8, "x" * 5000), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "doc_id = 7 AS held_out", "coalesce(text, '') AS text")
+    found = ppm_score.blocked(docs, 50, 2000).collect()
+    assert len({b["block"] for b in found}) == len(found)
+    blocks = [ppm_score.rows_of(bytes(b["texts"])).to_pydict() for b in found]
+    for b in blocks:
+        assert len(b["text"]) <= 50 and (len(b["text"]) == 1 or sum(len(t.encode()) for t in b["text"]) <= 2000)
+    back = [(i, t) for b in blocks for i, t in zip(b["doc_id"], b["text"])]
+    assert sorted(back, key=str) == sorted([(i, t or "") for i, t in rows], key=str)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    small = ppm_score.score(df, F.col("doc_id") == 7, docs_per_block=9, bytes_per_block=500)
+    assert _same(small, ppm_score.score(df, F.col("doc_id") == 7))
+
+
+def _same(one, other):
+    one, other = (sorted(map(tuple, d.collect()), key=lambda r: (str(r[:5]), r[5])) for d in (one, other))
+    return len(one) == len(other) and all(
+        a[:5] == b[:5] and a[5:] == pytest.approx(b[5:]) for a, b in zip(one, other))
+
+
 # --- quality rules --------------------------------------------------------------------------
 
 def brute_counts(text):
