@@ -144,6 +144,21 @@ def test_scores_without_training_texts_or_rows(spark):
     assert scored(spark.createDataFrame([], "doc_id long, text string")) == []
 
 
+def test_probabilities_of_texts_add_up_to_one_at_most(spark):
+    texts = [" ".join(["the"] * n) for n in range(1, 7)]
+    rows = [(i, texts[i % 6]) for i in range(60)] + [(99, "the\n" * n + "the the") for n in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") == 99
+    found = {r["n_tokens"]: 10 ** r["score"] for r in
+             ppm_score.score(df, held, layout=True).filter(~held).collect()}
+    assert len(found) == 6 and 0.1 < sum(found.values()) < 1
+    # As the definition says: 60 lines of 6 kinds, none seen once; a text ends 60.5 times in 121.
+    for n_tokens, p in found.items():
+        assert p == pytest.approx(0.5 * 0.5 * (1 - 2 / 64) * 10 / 60, rel=0.05), n_tokens
+    scores = sorted(r["score"] for r in ppm_score.score(df, held, layout=True).filter(held).collect())
+    assert scores[0] < scores[1] - 0.5 and scores[1] < scores[2] - 0.5     # each line costs
+
+
 def test_blocks_are_bounded_whatever_the_ids(spark):
     draw = random.Random(5)
     rows = [(None if i % 3 else 7, prose(draw, "en", draw.randint(1, 40))) for i in range(300)]
