@@ -26,7 +26,7 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_score.score(read_table(spark, sf_dir, "documents"),
-                           id_remainder(F.col("doc_id"), 10) == 0, layout=True)
+                           id_remainder(F.col("doc_id"), 10) == 0, layout=True, words_before=2)
 
 
 def op3_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

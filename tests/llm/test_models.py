@@ -159,6 +159,40 @@ def test_probabilities_of_texts_add_up_to_one_at_most(spark):
     assert scores[0] < scores[1] - 0.5 and scores[1] < scores[2] - 0.5     # each line costs
 
 
+def test_words_depend_on_the_words_before(spark):
+    draw = random.Random(9)
+    rows = [(i, "\n".join(prose(draw, "en", draw.randint(3, 9)) for _ in range(4))) for i in range(60)]
+    passage = rows[1][1].split()
+    shuffled = draw.sample(passage, len(passage))
+    rows += [(100, "\n".join([" ".join(passage[:5]), " ".join(passage[5:])])),      # other wrapping
+             (101, "\n".join([" ".join(shuffled[:5]), " ".join(shuffled[5:])])), (102, None), (None, "th")]
+    df, held = spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") >= 100
+    plain = {r["doc_id"]: r for r in ppm_score.score(df, held, layout=True).collect()}
+    given = {r["doc_id"]: r for r in ppm_score.score(df, held, layout=True, words_before=2).collect()}
+    assert given[100]["score"] > given[101]["score"] + 5 and given[100]["score"] > plain[100]["score"] + 5
+    assert plain[100]["score"] == pytest.approx(plain[101]["score"])
+    assert [tuple(given[i])[:6] for i in given] == [tuple(plain[i])[:6] for i in given]
+    small = ppm_score.score(df, held, layout=True, words_before=2, docs_per_block=3)
+    assert _same(small, ppm_score.score(df, held, layout=True, words_before=2))
+
+
+def test_run_counts_equal_brute_force(spark):
+    rows = [(i, t) for i, t in enumerate(["a b a b", "a\nb\n\nA", "b", "", "a b a c"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "doc_id = 4 AS held_out", "text")
+    dealt = ppm_score.blocked(docs, 2, 1000)
+    runs = ppm_score.counted_runs(dealt, 2, 7).toArrow()
+    want = Counter(tuple(w[i:i + k]) for _, t in rows[:4] for w in [t.lower().split()]
+                   for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    for b in dealt.collect():
+        texts = ppm_score.rows_of(bytes(b["texts"]))
+        lines = ppm_score.Lines(texts["text"].combine_chunks())
+        seen = ppm_score.SeenRuns(lines, 2, runs.filter(ppm_score.pc.equal(runs["block"], b["block"])))
+        words = [lines.dictionary[i].as_py() for i in lines.ids.tolist()]
+        for k, (at, c, n) in enumerate(seen.after, 1):
+            assert c.tolist() == [want[tuple(words[i - k:i + 1])] for i in at.tolist()]
+            assert n.tolist() == [want[tuple(words[i - k:i])] for i in at.tolist()]
+
+
 def test_blocks_are_bounded_whatever_the_ids(spark):
     draw = random.Random(5)
     rows = [(None if i % 3 else 7, prose(draw, "en", draw.randint(1, 40))) for i in range(300)]
