@@ -137,8 +137,9 @@ def learn(values: np.ndarray, labels: np.ndarray, bins: int = 64, longest: int =
           most: int = 24, least_precision: float = 0.97) -> list[Rule]:
     """Rules that name bad rows, in order, from a feature matrix and labels (1 good, 0 bad).
 
-    A rule that covers good rows as well holds only from `least_precision` on; the first that
-    falls short ends the list."""
+    A rule that covers good rows as well holds only from `least_precision` on.  The rows of one
+    that falls short are set aside, and rules are grown for the others; these must also hold on
+    the pruning rows, twice at least."""
     if not len(values):
         return []
     conditions = _thresholds(values, bins)
@@ -147,10 +148,10 @@ def learn(values: np.ndarray, labels: np.ndarray, bins: int = 64, longest: int =
     holds = np.stack([c.holds(values) for c in conditions])
     bad = labels == 0
     pruning = np.arange(len(values)) % 3 == 0
-    left = np.ones(len(values), bool)
+    left, aside = np.ones(len(values), bool), np.zeros(len(values), bool)
     rules: list[Rule] = []
-    while (left & bad & ~pruning).any() and len(rules) < most:
-        grow, prune = left & ~pruning, left & pruning
+    while (left & ~aside & bad & ~pruning).any() and len(rules) < most:
+        grow, prune = left & ~aside & ~pruning, left & pruning
 
         def precise(rule: list[int]) -> bool:
             covered = holds[rule].all(0) & left
@@ -161,10 +162,14 @@ def learn(values: np.ndarray, labels: np.ndarray, bins: int = 64, longest: int =
                 _worth(holds[:, prune], rule[:-1], bad[prune])
                 >= _worth(holds[:, prune], rule, bad[prune])):
             rule = rule[:-1]
-        if not rule or not precise(rule):
+        if not rule:
             break
-        rules.append(tuple(conditions[i] for i in rule))
-        left &= ~holds[rule].all(0)
+        covered = holds[rule].all(0)
+        if precise(rule) and (not aside.any() or (covered & prune & bad).sum() >= 2):
+            rules.append(tuple(conditions[i] for i in rule))
+            left &= ~covered
+        else:
+            aside |= covered
     return rules
 
 

@@ -273,6 +273,21 @@ def test_learned_list_separates(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_rare_junk_is_found_beside_imprecise_rules_and_wrong_labels():
+    draw = np.random.default_rng(3)
+    vague, rare = draw.random(6000), np.zeros(6000)
+    labels = (draw.random(6000) >= np.where(vague > 0.6, 0.7, 0.05)).astype(int)   # 5% wrong
+    rare[:150] = 1
+    labels[:150] = 0
+    values = np.stack([vague, rare] + [draw.random(6000) for _ in range(len(rules.FEATURES) - 2)], 1)
+    order = draw.permutation(6000)
+    learned = rules.learn(values[order], labels[order])
+    named = np.zeros(6000, bool)
+    for rule in learned:
+        named |= np.all([c.holds(values) for c in rule], axis=0)
+    assert named[:150].all() and labels[named].mean() <= 0.03
+
+
 def test_list_without_labels_or_rows(spark):
     docs, labels = labelled(spark)
     assert rules.fit(docs, labels.limit(0)) == [] and rules.fit(docs, labels.filter("quality = 1")) == []
