@@ -97,14 +97,17 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """Fit on rows with a language and a text that has a letter."""
     usable = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
     usable = usable.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                           F.xxhash64(F.col(id_col).cast("string")).alias("draw"))
+                           F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)))
+                           .alias("draw"))
     sizes = dict(usable.groupBy("lang").count().collect())
     if not sizes:
         return Model(np.ones(dimension, np.float32), np.zeros((0, dimension), np.float32), [], {})
     # A hash below the language's threshold: about the wanted number of texts of each.
     bound = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (
         lang, min(2**63 - 1, int(sample_per_language / n * 2**64) - 2**63))])
-    sample = usable.filter(F.col("draw") <= bound[F.col("lang")]).select("lang", "text")
+    # One text of each id (rows without one are drawn by their text), however often repeated.
+    sample = (usable.filter(F.col("draw") <= bound[F.col("lang")]).groupBy("lang", "draw")
+              .agg(F.min("text").alias("text")).select("lang", "text"))
 
     def make():
         def step(batch):

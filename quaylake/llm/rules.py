@@ -8,7 +8,7 @@ pruned on the last third, and takes the rows it covers out; then the next one is
 as rules hold on the pruning rows.  The list is emitted as one ordered conditional expression.
 
 The list is fitted on a bounded sample, `sample_rows` labelled documents drawn by a hash of
-the id; their few numbers each are collected, nothing else.  Documents that also fail the fixed
+the id, one row of each; their few numbers each are collected, nothing else.  Documents that also fail the fixed
 base rules are never kept.  Null text: no words.  Documents labelled both ways are not learned
 from; without labelled rows of both classes the list is empty and keeps what passes the base.
 """
@@ -197,8 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, id_col: str
               .filter("label = other").select("id", "label"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # The sample is bounded, so it may be sent to all tasks.
+    # One row of each id, before any is collected: an id may be repeated without bound.
     rows = (measured(texts.join(F.broadcast(chosen), "id"))
-            .select("id", "label", *FEATURES).orderBy("id", *FEATURES).collect())
+            .groupBy("id").agg(F.min(F.struct("label", *FEATURES)).alias("row"))
+            .select("id", "row.*").orderBy("id").collect())
     return learn(np.array([[r[f] for f in FEATURES] for r in rows], float).reshape(-1, len(FEATURES)),
                  np.array([r["label"] for r in rows], int))
 

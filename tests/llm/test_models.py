@@ -317,6 +317,17 @@ def test_language_id_on_held_out_texts(spark):
     assert carried.columns == df.columns and carried.count() == df.count()
 
 
+def test_samples_take_one_row_of_a_repeated_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rules, "learn", lambda values, labels: seen.append(len(values)) or [])
+    monkeypatch.setattr(langid, "cluster", lambda own, n: seen.append(len(own)) or own[:1])
+    df = spark.createDataFrame([(i if i < 4 else 1, f"text number {i}", "en") for i in range(60)],
+                               "doc_id long, text string, lang string")
+    rules.fit(df, spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int"))
+    langid.fit(df)
+    assert seen == [4, 4]
+
+
 def test_language_id_without_languages_or_rows(spark):
     df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     model = langid.fit(df)
