@@ -210,8 +210,12 @@ def judged(df: DataFrame, rules: list[Rule], text_col: str = "text", prefix: str
     p = prefix
     n = F.col(f"{p}n_words")
     base = (n < 50) | (100 * F.col(f"{p}n_repeat_words") > 50 * n)
-    return (measured(df, text_col, p).withColumn(f"{p}base_failed", base)
-            .withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & emitted(rules, p)))
+    out = (measured(df, text_col, p).withColumn(f"{p}base_failed", base)
+           .withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & emitted(rules, p)))
+    # A filter on any of these, pushed below the features, would repeat their nested expressions
+    # for every use, hundreds of times; below a non-deterministic column no filter is pushed.
+    new = [f"{p}{c}" for c in dict.fromkeys((*COUNTS, *FEATURES, "base_failed", "kept"))]
+    return out.withColumns({c: F.when(F.spark_partition_id() >= 0, F.col(c)) for c in new})
 
 
 def kept_documents(df: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
@@ -219,9 +223,5 @@ def kept_documents(df: DataFrame, rules: list[Rule], text_col: str = "text") ->
     prefix = "quality_rules_"
     while any(c.lower().startswith(prefix) for c in df.columns):
         prefix += "_"
-    # Pushed below the features, the filter would repeat their whole expressions for every use;
-    # a non-deterministic column keeps it above them, so each is computed once a row.
-    place = f"{prefix}place"
-    return (judged(df, rules, text_col, prefix).withColumn(place, F.spark_partition_id())
-            .filter(F.col(f"{prefix}kept") & (F.col(place) >= 0))
+    return (judged(df, rules, text_col, prefix).filter(F.col(f"{prefix}kept"))
             .select(*[F.col(f"`{c}`") for c in df.columns]))

@@ -273,6 +273,22 @@ def test_learned_list_separates(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_results_can_be_filtered(spark):
+    """Filters on any of the columns, alone or joined by others, leave the counts as they are."""
+    draw = random.Random(8)
+    df = spark.createDataFrame([(i, prose(draw, "en", draw.randint(20, 120)) + (" #$%" * (i % 9)))
+                                for i in range(200)], "doc_id long, text string")
+    learned = [(rules.Condition("symbol_share", True, 0.02),), (rules.Condition("mean_word", True, 9.0),)]
+    out = rules.judged(df, learned)
+    rows = out.select("doc_id", "n_words", "n_repeat_words", "base_failed", "kept").collect()
+    assert {r["kept"] for r in rows} == {True, False}
+    for condition, test in (("kept", lambda r: r["kept"]), ("not base_failed", lambda r: not r["base_failed"]),
+                            ("n_words > 60", lambda r: r["n_words"] > 60),
+                            ("n_repeat_words = 0 and kept", lambda r: r["kept"] and not r["n_repeat_words"])):
+        got = {r["doc_id"] for r in out.filter(condition).select("doc_id").collect()}
+        assert got == {r["doc_id"] for r in rows if test(r)}, condition
+
+
 def test_rare_junk_is_found_beside_imprecise_rules_and_wrong_labels():
     draw = np.random.default_rng(3)
     vague, rare = draw.random(6000), np.zeros(6000)
