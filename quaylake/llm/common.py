@@ -17,6 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,38 @@ def map_batches(df: DataFrame, schema: str,
     return df.mapInArrow(run, schema)
 
 
+def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: float,
+                    more: dict[str, Column] | None = None) -> DataFrame:
+    """(vec_id, dim, ints, then the `more` columns): the components as floor(scale * x), in
+    little-endian 64-bit bytes.  Rows without an id or a vector, or with null or non-finite
+    components, are left out; an empty vector has dim 0."""
+    v, names = F.col("vector"), list(more or {})
+    usable = (df.select(F.col(id_col).cast("long").alias("vec_id"),
+                        F.col(vector_col).cast("array<double>").alias("vector"),
+                        *[c.alias(name) for name, c in (more or {}).items()])
+              .filter(F.col("vec_id").isNotNull() & v.isNotNull()
+                      & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))))
+    types = dict(usable.dtypes)
+
+    def make():
+        def step(batch):
+            column = batch.column(1)
+            values = np.floor(scale * column.flatten().to_numpy(zero_copy_only=False)).astype("<i8")
+            ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+            parts = np.split(values, ends[:-1])
+            return {"vec_id": batch.column(0), "dim": [len(p) for p in parts],
+                    "ints": [p.tobytes() for p in parts], **{c: batch.column(c) for c in names}}
+        return step
+
+    return map_batches(usable, ", ".join(["vec_id long, dim int, ints binary",
+                                          *[f"{c} {types[c]}" for c in names]]), make)
+
+
+def integer_matrix(column: pa.Array, dim: int, dtype: str = "<i8") -> np.ndarray:
+    """One row of `dim` numbers for each value of a binary column."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), dim)
+
+
 class PieceCache:
     """Memo from a piece of text to its result, in two generations of bounded size.
 

@@ -23,7 +23,7 @@ def test_stage_names_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "near_duplicates", "packing"]
     names = entry.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert set(registry.QUERIES) <= set(names) and set(entry.oracle_sql()) <= set(names)
 
 
