@@ -167,7 +167,7 @@ def mine(df: DataFrame, is_anchor: Column, scale: float = 256.0, positives: int
         drawn = (vectors.filter((F.col("dim") == dim) & draw).orderBy("row").limit(2 * sample)
                  .select("ints").collect())
         chosen[dim] = choose_references(np.array(
-            [np.frombuffer(bytes(r["ints"]), "<i8") for r in drawn], float).reshape(-1, dim), references)
+            [np.frombuffer(bytes(r["ints"]), "<i8") for r in drawn], float).reshape(len(drawn), dim), references)
 
     def make_table():
         def step(batch):
