@@ -191,6 +191,25 @@ PARTITIONS = {
     "sales_order_lead_time": ["run_date"],
 }
 
+# Tables that merges write by a key: stored in buckets by a hash of it.
+BUCKETS = {
+    "bronze.customer": ["CustomerID"],
+    "bronze.product": ["ProductID"],
+    "bronze.supplier": ["SupplierID"],
+    "bronze.warehouse": ["WarehouseID"],
+    "silver.dim_customer": ["customer_id"],
+    "silver.dim_supplier": ["supplier_id"],
+    "silver.dim_product": ["product_id"],
+    "silver.dim_warehouse": ["warehouse_id"],
+    "silver.fact_inventory": ["product_id", "warehouse_id"],
+    "silver.fact_shipments": ["salesordernumber"],
+    "gold.fact_supply_chain_summary": ["salesordernumber"],
+    "mart.fact_inventory": ["product_id", "warehouse_id"],
+    "mart.fact_shipments": ["salesordernumber"],
+}
+# Type-2 tables: current versions in buckets, closed ones by load.
+VERSIONED = {"silver.dim_customer", "silver.dim_supplier"}
+
 TABLES = {
     "bronze.customer": BRONZE_CUSTOMER,
     "bronze.product": BRONZE_PRODUCT,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  AQE re-plans joins from real shuffle sizes
@@ -51,6 +52,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if not (SparkContext._active_spark_context or SparkConf().get("spark.checkpoint.dir", None)):
+        # A session's checkpoint folder cannot be set once it runs.
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(
+            prefix="quaylake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -64,7 +69,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` as the cluster sets it.  Only when the
     setting is missing on a local master (tests) is a fresh temporary folder
-    taken and recorded in the session, so every later call sees the same place.
+    taken as the context's checkpoint folder, where every later call finds it.
     """
     sc = spark.sparkContext
     current = (spark.conf.get("spark.checkpoint.dir", None)
@@ -78,9 +83,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all workers share")
     local = tempfile.mkdtemp(prefix="quaylake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -1,7 +1,16 @@
 """Lakehouse tables on shared storage and the ways results are written.
 
 Tables are Parquet, registered in the session catalog as external tables
-under one root folder (bronze, silver, gold and mart databases).  Writes:
+under one root folder (bronze, silver, gold and mart databases).  Layouts:
+
+* partitioned by columns of their own (days);
+* bucketed: a stored column, `BUCKET`, holds a hash of the merge key and is
+  the partition column, so a merge finds the buckets its source falls into and
+  reads and rewrites those alone;
+* versioned (type 2): current versions are bucketed, closed ones lie in one
+  partition a load, which later loads neither read nor write.
+
+The added columns are not part of what `table` returns.  Writes:
 
 * `replace`     new contents of a table.  An unpartitioned one is written
                 once, to a new folder, and the table's location is switched to
@@ -14,20 +23,27 @@ under one root folder (bronze, silver, gold and mart databases).  Writes:
                 replaced (cleared when today's result is empty).
 * `append`      plain append.
 * `rebuild`     create-or-replace from a query.
-* `merge`       keyed upsert into a table (`operators.merge.upsert`); on a
-                table partitioned by a merge-key column only the partitions
-                the source touches are read and rewritten.
+* `merge`       keyed upsert into a table (`operators.merge.upsert`); of a
+                bucketed table, or one partitioned by a merge-key column, only
+                the partitions the source touches are read and rewritten.
+* `merge_scd2`  type-2 load.
 * `publish_*`   copies to the mart database: keyed upsert or snapshot.
+
+`reload_day`, `merge` into a bucketed table and switched tables write new
+folders and then point the catalog at them.  The folders before stay, for
+readers that planned on them, until `vacuum` removes what nothing points at.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators.merge import scd2, upsert
@@ -44,16 +60,44 @@ MART_TABLES = {
         "promised_delivery_date string", "promised_delivery_date date"),
 }
 
+BUCKET, LOAD = "_bucket", "_load"
+#: The load partition of current versions.
+CURRENT = "current"
+_KEYS, _BUCKETS, _COLUMNS = "lake.bucket.keys", "lake.bucket.number", "lake.columns"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table is stored: its columns as declared, its partition columns, and, if it is
+    bucketed, the key and number of its buckets."""
+    columns: tuple[str, ...]
+    partitions: tuple[str, ...]
+    keys: tuple[str, ...] = ()
+    buckets: int = 0
+
+    @property
+    def versioned(self) -> bool:
+        return LOAD in self.partitions
+
+    def bucket(self, types: dict[str, str]) -> Column:
+        """The bucket of a row, from its key in the table's types (a NULL key has one as well)."""
+        return F.pmod(F.xxhash64(*[F.col(k).cast(types[k]) for k in self.keys]),
+                      F.lit(self.buckets)).cast("int")
+
 
 class Lakehouse:
     """Catalog databases and tables below `root` (shared storage).
 
     Tables are named "db.table"; `prefix` is put in front of the database
     name in the catalog so several lakes can live in one session (tests).
+    `buckets` is the number of buckets of new bucketed tables: about their
+    final size over 1 GB (a table keeps the number it was made with).
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
+    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = "",
+                 buckets: int = 64):
         self.spark = spark
+        self.buckets = buckets
         self.root = (root or scratch_path(spark, "lakehouse")).rstrip("/")
         self.prefix = prefix
         # Overwrites of partitioned tables replace only the partitions written
@@ -80,15 +124,30 @@ class Lakehouse:
         db, table = name.split(".")
         return f"{self.root}/{db}/{table}"
 
-    def create_table(self, name: str, ddl: str, partition_by: list[str] | None = None) -> None:
-        """CREATE TABLE IF NOT EXISTS ... USING parquet [PARTITIONED BY]."""
+    def create_table(self, name: str, ddl: str, partition_by: list[str] | None = None,
+                     bucket_by: list[str] | None = None, versioned: bool = False) -> None:
+        """CREATE TABLE IF NOT EXISTS ... USING parquet, in the layout given or, by default, the
+        one that `schemas` has for a table of that name.  A versioned table needs `is_current`."""
         db, table = name.split(".")
         self._create_db(db)
-        parts = partition_by if partition_by is not None else schemas.PARTITIONS.get(table, [])
+        if partition_by is None and bucket_by is None:
+            partition_by = schemas.PARTITIONS.get(table, [])
+            bucket_by = schemas.BUCKETS.get(name, [])
+            versioned = name in schemas.VERSIONED
+        parts, properties = list(partition_by or []), ""
+        if bucket_by:
+            columns = ",".join(f.name for f in StructType.fromDDL(ddl))
+            ddl += f", {BUCKET} int"
+            parts = [BUCKET]
+            if versioned:
+                ddl += f", {LOAD} string"
+                parts = ["is_current", LOAD, BUCKET]
+            properties = (f" TBLPROPERTIES ('{_KEYS}'='{','.join(bucket_by)}', "
+                          f"'{_BUCKETS}'='{self.buckets}', '{_COLUMNS}'='{columns}')")
         clause = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.qualified(name)} ({ddl}) USING parquet{clause} "
-            f"LOCATION '{self.path(name)}'")
+            f"LOCATION '{self.path(name)}'{properties}")
 
     def create_all(self) -> None:
         self.create_databases()
@@ -99,12 +158,22 @@ class Lakehouse:
         return sorted(f"{db}.{t.name}"
                       for t in self.spark.catalog.listTables(f"{self.prefix}{db}"))
 
+    def layout(self, name: str) -> Layout:
+        listed = self.spark.catalog.listColumns(self.qualified(name))
+        parts = tuple(c.name for c in listed if c.isPartition)
+        found = {r["key"]: r["value"] for r in self.spark.sql(
+            f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()} if BUCKET in parts else {}
+        if _KEYS not in found:
+            return Layout(tuple(c.name for c in listed), parts)
+        return Layout(tuple(found[_COLUMNS].split(",")), parts, tuple(found[_KEYS].split(",")),
+                      int(found[_BUCKETS]))
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(self.qualified(name))
+        stored = self.spark.table(self.qualified(name))
+        return stored if BUCKET not in stored.columns else stored.select(*self.layout(name).columns)
 
     def partition_columns(self, name: str) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(self.qualified(name))
-                if c.isPartition]
+        return list(self.layout(name).partitions)
 
     # --- folders ----------------------------------------------------------
     def _folder(self, path: str):
@@ -126,7 +195,7 @@ class Lakehouse:
         return [r["data_type"] for r in rows if r["col_name"] == "Location"][-1]
 
     def _switch(self, name: str, folder: str, schema) -> None:
-        """Let a table's name point at `folder`; only then is the old folder removed."""
+        """Let a table's name point at `folder`; the folder before stays until `vacuum`."""
         old = self.location(name) if self.exists(name) else None
         same = old is not None and [(f.name, f.dataType) for f in self.table(name).schema] == [
             (f.name, f.dataType) for f in schema]
@@ -136,8 +205,42 @@ class Lakehouse:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
             self.spark.catalog.createTable(self.qualified(name), folder, "parquet", schema)
         self.spark.catalog.refreshTable(self.qualified(name))
-        if old is not None:
-            self._remove(self.root + old.split(self.root.split(":", 1)[-1], 1)[-1])
+
+    def _version_folder(self, name: str) -> str:
+        """A new folder for contents of a table (names with `_` are not read as part of it)."""
+        return f"{self.path(name)}/_versions/{uuid.uuid4().hex}"
+
+    def _swap(self, name: str, rows: DataFrame, values: list[tuple]) -> None:
+        """Replace the partitions `values` by `rows` (all rows fall into them): written to a new
+        folder, then the catalog is pointed at each partition's part of it.  A job that ends in
+        between leaves partitions as they were; repeating it replaces all of them."""
+        folder, parts = self._version_folder(name), self.partition_columns(name)
+        (self._distribute(name, rows).write.option("maxRecordsPerFile", 0).partitionBy(*parts).parquet(folder))
+        fs, _ = self._folder(folder)
+        for value in values:
+            spec = ", ".join(f"{c} = {_literal(v)}" for c, v in zip(parts, value))
+            where = f"{folder}/" + "/".join(f"{c}={_written(v)}" for c, v in zip(parts, value))
+            if not fs.exists(self._folder(where)[1]):       # no row is left in it
+                fs.mkdirs(self._folder(where)[1])
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD IF NOT EXISTS PARTITION ({spec}) "
+                           f"LOCATION '{where}'")
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} PARTITION ({spec}) SET LOCATION '{where}'")
+        self.spark.catalog.refreshTable(self.qualified(name))
+
+    def vacuum(self, name: str, keep_seconds: float = 7 * 86_400) -> int:
+        """Remove folders of earlier contents that are older than `keep_seconds` and that no
+        location of the table points at; returns how many."""
+        fs, where = self._folder(f"{self.path(name)}/_versions")
+        if not fs.exists(where):
+            return 0
+        table = self.spark.table(self.qualified(name))
+        used = {part for f in [self.location(name), *table.inputFiles()] for part in f.split("/")}
+        oldest = self.spark._jvm.System.currentTimeMillis() - keep_seconds * 1000
+        gone = [s.getPath() for s in fs.listStatus(where)
+                if s.getPath().getName() not in used and s.getModificationTime() <= oldest]
+        for path in gone:
+            fs.delete(path, True)
+        return len(gone)
 
     # --- writes -----------------------------------------------------------
     def _staged(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -160,7 +263,13 @@ class Lakehouse:
 
     def _conform(self, name: str, df: DataFrame) -> DataFrame:
         # insertInto is positional: put columns in table order, cast to table types.
-        target = self.table(name).schema
+        target = self.spark.table(self.qualified(name)).schema
+        layout = self.layout(name)
+        if layout.keys:
+            types = {f.name: f.dataType.simpleString() for f in target}
+            df = df.withColumn(BUCKET, layout.bucket(types))
+            if layout.versioned:
+                df = df.withColumn(LOAD, F.lit(CURRENT))
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
     def _distribute(self, name: str, df: DataFrame) -> DataFrame:
@@ -181,7 +290,7 @@ class Lakehouse:
             self._write_and_switch(name, rows)
 
     def _write_and_switch(self, name: str, df: DataFrame) -> None:
-        folder = f"{self.path(name)}-{uuid.uuid4().hex}"
+        folder = self._version_folder(name)
         try:
             df.write.parquet(folder)
         except Exception:
@@ -194,18 +303,10 @@ class Lakehouse:
 
     def reload_day(self, name: str, df: DataFrame, run_date: date | str,
                    column: str = "run_date") -> None:
-        """Replace the `run_date` partition with `df` (re-runs leave one copy)."""
+        """Replace the `run_date` partition with `df` (re-runs leave one copy).  The day before
+        the swap stays readable; an empty result clears the day."""
         rows = self._conform(name, df.withColumn(column, F.lit(str(run_date)).cast("date")))
-        staged, folder = self._staged(rows, name.replace(".", "_"))
-        if staged.isEmpty():
-            where = f"{self.location(name)}/{column}={run_date}"
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS "
-                           f"PARTITION ({column} = DATE'{run_date}')")
-            # The table is external: its files would outlive the partition.
-            self._remove(self.root + where.split(self.root.split(":", 1)[-1], 1)[-1])
-        else:
-            self._distribute(name, staged).write.insertInto(self.qualified(name), overwrite=True)
-        self._remove(folder)
+        self._swap(name, rows, [(str(run_date),)])
 
     def rebuild(self, name: str, df: DataFrame) -> None:
         """Create or replace `name` with the rows and schema of `df`: written first, then
@@ -213,10 +314,26 @@ class Lakehouse:
         self._create_db(name.split(".")[0])
         self._write_and_switch(name, df)
 
+    def _touched(self, name: str, staged: DataFrame, layout: Layout) -> list[int]:
+        """The buckets that the rows fall into (as many numbers as the table has buckets at most)."""
+        types = {f.name: f.dataType.simpleString() for f in self.spark.table(self.qualified(name)).schema}
+        return sorted(r[0] for r in staged.select(layout.bucket(types)).distinct().collect())
+
     def merge(self, name: str, source: DataFrame, keys: list[str], **options) -> None:
         """Upsert `source` into table `name` by `keys` (see `upsert`)."""
+        layout = self.layout(name)
+        if layout.keys and set(layout.keys) <= set(keys):
+            # Equal keys have equal buckets: read and rewrite the buckets of the source alone.
+            staged, folder = self._staged(source, name.replace(".", "_"))
+            touched = self._touched(name, staged, layout)
+            if touched:
+                target = self.spark.table(self.qualified(name)).where(F.col(BUCKET).isin(touched))
+                rows = upsert(target.select(*layout.columns), staged, keys, **options)
+                self._swap(name, self._conform(name, rows), [(b,) for b in touched])
+            self._remove(folder)
+            return
         target = self.table(name)
-        parts = self.partition_columns(name)
+        parts = layout.partitions
         if parts and set(parts) <= set(keys):
             # A match needs equal partition values: read only touched partitions
             # (the semi join lets Spark prune partitions at run time).
@@ -229,11 +346,36 @@ class Lakehouse:
 
     def merge_scd2(self, name: str, source: DataFrame, key: str, compare: list[str],
                    run_ts, null_safe: bool = False) -> None:
-        self.replace(name, scd2(self.table(name), source, key, compare, run_ts, null_safe))
+        """Type-2 load (see `scd2`).  Of a versioned table only the current versions in the
+        source's buckets are read; they are rewritten after the versions that this load closes
+        are in a partition of their own.  A load that broke off is repeated with its own
+        `run_ts`: it writes the same partition again."""
+        layout = self.layout(name)
+        if not layout.versioned:
+            self.replace(name, scd2(self.table(name), source, key, compare, run_ts, null_safe))
+            return
+        staged, folder = self._staged(source, name.replace(".", "_"))
+        touched = self._touched(name, staged, layout)
+        if touched:
+            current = self.spark.table(self.qualified(name)).where(
+                F.col("is_current") & (F.col(LOAD) == CURRENT) & F.col(BUCKET).isin(touched))
+            versions, made = self._staged(scd2(current.select(*layout.columns), staged, key, compare,
+                                               run_ts, null_safe), name.replace(".", "_"))
+            load = "".join(c if c.isalnum() else "-" for c in str(run_ts))
+            closed = versions.where(~F.col("is_current"))
+            if not closed.isEmpty():
+                rows = self._conform(name, closed).withColumn(LOAD, F.lit(load)).withColumn(BUCKET, F.lit(-1))
+                self._swap(name, rows, [(False, load, -1)])
+            self._swap(name, self._conform(name, versions.where("is_current")),
+                       [(True, CURRENT, b) for b in touched])
+            self._remove(made)
+        self._remove(folder)
 
     def publish_upsert(self, name: str, df: DataFrame, keys: list[str]) -> None:
         """Keyed copy into a mart table (stage rows, then upsert the mart)."""
-        self.merge(name, self.stage(df, "publish"), keys, check_duplicates=False)
+        staged, folder = self._staged(df, "publish")
+        self.merge(name, staged, keys, check_duplicates=False)
+        self._remove(folder)
 
     def publish_snapshot(self, name: str, df: DataFrame) -> None:
         """Mart table holds only the latest result."""
@@ -243,6 +385,15 @@ class Lakehouse:
             self.replace(name, df)
 
 
+def _literal(value) -> str:
+    return str(value).lower() if isinstance(value, bool) else f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _written(value) -> str:
+    """A partition value as Spark writes it into a folder's name (none here needs escaping)."""
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def row_counts(lake: Lakehouse, names: list[str]) -> DataFrame:
     """Row-count audit over catalog tables (one UNION ALL of counts)."""
     from ..plans.gold import row_count_audit
