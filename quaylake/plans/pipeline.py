@@ -127,15 +127,23 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     """
     lake.create_all()
     lake.create_table(PROCESSED, "path string, modificationTime timestamp, length bigint, run_ts timestamp", [])
-    metrics = {} if metrics is None else metrics
     mark = ["path", "modificationTime", "length"]
     new = lake.stage(files.archives(spark, drops).join(lake.table(PROCESSED), mark, "left_anti"), "new-archives")
     paths = sorted(r["path"] for r in new.select("path").collect())     # names, as in any listing
     batch = hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
     lines = lake.stage(files.extract_archives(spark, paths), "drop-lines")
-    if not paths:
-        return files.member_verdicts(lines)
-    files.land(lines, landing_root, run_ts)
+    if paths:
+        load_drop_lines(spark, lake, lines, landing_root, run_ts, batch, metrics, workers)
+        lake.append(PROCESSED, new.withColumn("run_ts", _now(run_ts)))      # last: all is written
+    return files.member_verdicts(lines)
+
+
+def load_drop_lines(spark: SparkSession, lake: Lakehouse, lines: DataFrame, landing_root: str,
+                    run_ts, batch: str, metrics: dict | None = None, workers: int = 3) -> None:
+    """Land the staged member lines of some archives and load what was accepted; `batch` names
+    the set of archives, and a repeated run over it replaces what it wrote."""
+    metrics = {} if metrics is None else metrics
+    files.land(lines, landing_root, run_ts, batch)
     stamp = spark.range(1).select(
         F.date_format(_now(run_ts), "yyyy-MM-dd").alias("d"),
         F.date_format(_now(run_ts), "HH").alias("h")).first()
@@ -166,7 +174,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     def landed_json(kind, ddl):
         layouts = {r["layout"] for r in present if r["kind"] == kind}
         return files.read_landed_json(spark, files.landed(landing_root, kind), ddl, layouts,
-                                      stamp["d"], stamp["h"])
+                                      stamp["d"], stamp["h"], batch)
 
     def load_inventory():
         raw = landed_json("inventory", schemas.INVENTORY_JSON)
@@ -191,8 +199,6 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     _run_all([lambda d=dim: lake.publish_snapshot(f"mart.{d}", lake.table(f"silver.{d}"))
               for dim in ("dim_customer", "dim_product", "dim_supplier", "dim_warehouse")],
              workers)
-    lake.append(PROCESSED, new.withColumn("run_ts", _now(run_ts)))      # last: all is written
-    return files.member_verdicts(lines)
 
 
 # --- 3. gold ----------------------------------------------------------------------

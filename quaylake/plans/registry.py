@@ -805,3 +805,44 @@ def _stream_upsert(spark, sf_dir):
         drop.write.option("header", True).csv(f"{work}/landing/drop={i}")
         run_available(spark, f"{work}/landing/drop=*", lake, name, f"{work}/checkpoint")
     return lake.table(name)
+
+
+@query("stream_drops")
+def _stream_drops(spark, sf_dir):
+    """Two loads of shipments, overlapping in time, dropped as zip archives of JSON Lines: a stream
+    of archives unpacks, checks, lands and loads those that are new, at each of two starts."""
+    from ..streaming.ingest import run_available_drops
+
+    work = _workdir(spark, "stream-drops")
+    lake = Lakehouse(spark, f"{work}/lake", prefix=f"q{uuid.uuid4().hex[:12]}_", buckets=16)
+    ships = driver.shipment_events(spark, sf_dir)
+    for i, drop in enumerate([_before(ships, "shipment_date", LOAD_CUTOFF), _since(ships, "shipment_date", OVERLAP_FROM)]):
+        files.write_drops(drop, f"{work}/drops/{i}", "shipment", "json", "lines").count()
+        run_available_drops(spark, f"{work}/drops/*", lake, f"{work}/landing", f"{work}/checkpoint", RUN_TS)
+    return lake.table("silver.fact_shipments")
+
+
+@query("lake_scd2_customer")
+def _lake_scd2_customer(spark, sf_dir):
+    """The two loads of `scd2_customer` into the stored, versioned customer dimension."""
+    lake = _lake(spark, "versions")
+    lake.create_table("silver.dim_customer", schemas.TABLES["silver.dim_customer"])
+    for ts, window in ((LOAD_TS, {"before": LOAD_CUTOFF}), (RUN_TS, {"since": LOAD_CUTOFF})):
+        lake.merge_scd2("silver.dim_customer", _customer_dim_as_of(spark, sf_dir, ts, **window),
+                        "customer_id", silver.CUSTOMER_COMPARE, ts)
+    return lake.table("silver.dim_customer")
+
+
+@query("quarantined_lines")
+def _quarantined_lines(spark, sf_dir):
+    """What lies in the error folder after the inventory feed was dropped as JSON lines without
+    a field: every record, with the hour's folder it lies in."""
+    folder, root = _workdir(spark, "drops"), _workdir(spark, "landing")
+    feed = driver.inventory_snapshots(spark, sf_dir).drop("sku_name")
+    files.write_drops(feed, folder, "inventory_legacy", "json", "lines").count()
+    files.land(files.extract_archives(spark, folder), root, RUN_TS)
+    record = F.from_json("value", "inventory_id string, product_id string, warehouse_id string, stock_level bigint")
+    return (spark.read.text(f"{root}/error_data").select(
+        record.alias("r"), F.col("ingest_date").cast("string").alias("ingest_date"),
+        F.lpad(F.col("ingest_hour").cast("string"), 2, "0").alias("ingest_hour"))
+        .select("r.*", "ingest_date", "ingest_hour"))

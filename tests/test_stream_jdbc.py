@@ -71,3 +71,38 @@ def test_jdbc_incremental_with_bookmark(spark, workdir):
     assert sorted(r["Id"] for r in split.collect()) == [1, 2, 3, 4]
     split_inc = read_jdbc(spark, url, "Thing", "UpdatedAt", dt.datetime(2024, 1, 1, 12), props, 3)
     assert sorted(r["Id"] for r in split_inc.collect()) == [2, 3, 4]
+
+
+def test_zip_drops_are_streamed_once(spark, workdir):
+    """A second start reads nothing, a new archive only itself; a broken member is quarantined."""
+    import json
+    import zipfile
+
+    from quaylake.streaming.ingest import run_available_drops
+
+    names = [c.split()[0] for c in schemas.SHIPMENT_JSON.split(", ")]
+
+    def record(number, carrier):
+        row = dict.fromkeys(names) | {"shipment_id": f"S{number}", "salesordernumber": f"O{number}",
+                                      "carrier_name": carrier, "shipment_date": "2024-01-02"}
+        return json.dumps(row)
+
+    def drop(name, members):
+        with zipfile.ZipFile(f"{workdir}/drops/{name}", "w") as archive:
+            for member, body in members.items():
+                archive.writestr(member, body)
+
+    os.makedirs(f"{workdir}/drops")
+    lake = Lakehouse(spark, f"{workdir}/lake", prefix=f"t{uuid.uuid4().hex[:8]}_", buckets=4)
+    run = lambda: run_available_drops(spark, f"{workdir}/drops", lake, f"{workdir}/land",
+                                      f"{workdir}/checkpoint", "2024-01-03 04:00:00")
+    drop("a.zip", {"shipment_1.json": "\n".join(record(i, "first") for i in range(5)),
+                   "shipment_2.json": record(7, "x") + '\n{"shipment_id": '})
+    assert run() == 1
+    assert run() == 0, "nothing is new"
+    drop("b.zip", {"shipment_3.json": "\n".join(record(i, "second") for i in (3, 9))})
+    assert run() == 1
+    got = {r["salesordernumber"]: r["carrier_name"] for r in lake.table("silver.fact_shipments").collect()}
+    assert got == {"O0": "first", "O1": "first", "O2": "first", "O3": "second", "O4": "first", "O9": "second"}
+    lines = spark.read.text(f"{workdir}/land/error_data").select("value").collect()
+    assert sorted(r[0] for r in lines) == sorted([record(7, "x"), '{"shipment_id": '])
