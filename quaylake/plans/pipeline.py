@@ -131,7 +131,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
     new = lake.stage(files.archives(spark, drops).join(lake.table(PROCESSED), mark, "left_anti"), "new-archives")
     paths = sorted(r["path"] for r in new.select("path").collect())     # names, as in any listing
     batch = hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
-    lines = lake.stage(files.extract_archives(spark, paths), "drop-lines")
+    lines = files.extract_archives(spark, paths)
     if paths:
         load_drop_lines(spark, lake, lines, landing_root, run_ts, batch, metrics, workers)
         lake.append(PROCESSED, new.withColumn("run_ts", _now(run_ts)))      # last: all is written
@@ -140,7 +140,7 @@ def run_facts(spark: SparkSession, lake: Lakehouse, drops: str, landing_root: st
 
 def load_drop_lines(spark: SparkSession, lake: Lakehouse, lines: DataFrame, landing_root: str,
                     run_ts, batch: str, metrics: dict | None = None, workers: int = 3) -> None:
-    """Land the staged member lines of some archives and load what was accepted; `batch` names
+    """Land the member lines of some archives and load what was accepted; `batch` names
     the set of archives, and a repeated run over it replaces what it wrote."""
     metrics = {} if metrics is None else metrics
     files.land(lines, landing_root, run_ts, batch)

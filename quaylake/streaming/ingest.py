@@ -8,7 +8,7 @@ Each micro-batch is cleaned, de-duplicated and upserted into the silver
 order table in `foreachBatch`.  Late rows are simply upserted; no watermark
 is needed because no state is kept between batches.
 
-Zip drops stream as `binaryFile` rows: each micro-batch is unpacked, checked,
+Zip drops stream as `binaryFile` rows (names only): each micro-batch is unpacked, checked,
 landed or quarantined and loaded into the three facts as `run_facts` does.  The
 checkpoint knows which archives were read, so no list of names is kept.
 """
@@ -59,21 +59,21 @@ def run_available(spark: SparkSession, folder: str, lake: Lakehouse, table: str,
 
 
 def drop_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the zip archives arriving under `folder` (path, content, ...)."""
+    """Streaming DataFrame of the zip archives arriving under `folder` (their paths)."""
     schema = spark.read.format("binaryFile").load(folder).schema
     reader = (spark.readStream.format("binaryFile").schema(schema)
               .option("pathGlobFilter", "*.zip"))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(folder)
+    return reader.load(folder).select("path")
 
 
 def load_drops_batch(lake: Lakehouse, landing_root: str, run_ts, stream: str):
-    """foreachBatch body: the lines of a batch's archives, staged, then landed and loaded.  A
+    """foreachBatch body: the lines of a batch's archives, unpacked, then landed and loaded.  A
     batch that is run again after a failure has the same name and replaces what it wrote."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        lines = lake.stage(files.unpacked(batch), f"drop-batch-{batch_id}")
+        lines = files.unpacked(batch)
         if not lines.isEmpty():
             pipeline.load_drop_lines(batch.sparkSession, lake, lines, landing_root, run_ts,
                                      f"{stream}-{batch_id}")
