@@ -100,18 +100,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_pivot_top_k": """
 WITH v AS (
-  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  SELECT row_number() OVER () AS r, vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
   FROM embeddings
-  WHERE len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.r <> q.r AND len(c.e) = len(q.e)
 ),
 ranked AS (
   SELECT query_id, CAST(ROW_NUMBER() OVER (
-           PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+           PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",

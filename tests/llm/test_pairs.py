@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quaylake.llm import hash_tree, pivot_topk, simhash
+from quaylake.llm.common import stored
 
 
 def groups(n, pairs):
@@ -56,10 +57,19 @@ def test_top_k_with_large_products_is_exact():
     rows = np.array([[1 << 30, 3], [1 << 30, 4], [5, 1 << 30]], np.int64)
     ids = np.array([1, 2, 3])
     (_, places, scores), = pivot_topk.search_block(
-        rows[:1], ids[:1], np.zeros((1, 1)), rows, ids, np.zeros((3, 1)), 2)
+        rows[:1], ids[:1], np.zeros((1, 1)), rows, ids, ids, np.zeros((3, 1)), 2)
     assert ids[places].tolist() == [2, 3] and scores.tolist() == [(1 << 60) + 12, 8 * (1 << 30)]
 
 
+def test_top_k_tells_rows_with_one_id_apart(spark):
+    """Rows that share an id are candidates of each other; query rows of one id have a list each."""
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [0.5, 0.25]), (4, []), (40, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = pivot_topk.top_k(df, F.col("vec_id") % 20 == 0, k=2).collect()
+    assert sorted(map(tuple, got)) == sorted([
+        (20, 1, 3, 64 * 32), (20, 2, 20, 0), (20, 1, 3, 64 * 16), (20, 2, 20, 0), (40, 1, 4, 0)])
+
+
 def test_top_k_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert pivot_topk.top_k(none, F.col("vec_id") % 5 == 0).collect() == []
@@ -200,6 +210,56 @@ def test_only_changed_subtrees_move(spark, keyed):
     assert share[5] > 1.4 * share[9]
 
 
+def test_one_more_shard_takes_keys_only_into_itself_for_every_number(spark):
+    """From 1 to 40 shards, one after the other, and in equal shares."""
+    frame = spark.range(3000).selectExpr("cast(id as string) k")
+    for n in range(1, 41):
+        frame = hash_tree.place(frame, "k", n, f"s{n}")
+        if n % 8 == 0:      # short plans
+            frame = stored(frame, "shards")
+    rows = frame.drop("k").collect()
+    for row in rows:
+        for n in range(2, 41):
+            assert row[f"s{n}"] == row[f"s{n - 1}"] or row[f"s{n}"] == n - 1
+    for n in (3, 7, 15, 16, 40):
+        share = Counter(r[f"s{n}"] for r in rows)
+        assert set(share) == set(range(n))
+        assert max(share.values()) < 3000 / n + 5 * (3000 / n) ** 0.5
+
+
+def test_descent_equals_plain_python(spark):
+    """The same draws made one key at a time; Spark gives only the hashes."""
+    import math
+
+    tree = hash_tree.topology(18)
+    names = sorted({n for region, inner in tree.items() for rack, leaves in inner.items()
+                    for n in (region, rack, *map(str, leaves))})
+    keys = [str(i) for i in range(60)] + ["", "x" * 500]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string")
+    hashed = {(r["k"], r["n"]): r["h"] for r in frame.crossJoin(
+        spark.createDataFrame([(n,) for n in names], "n string")).withColumn(
+            "h", F.xxhash64("k", "n")).collect()}
+
+    def winner(key, children):
+        def draw(name):
+            u = (((hashed[key, name] & (1 << 64) - 1) >> 11) + 0.5) / 2 ** 53
+            return -math.log(u) / children[name], name
+        return min(map(draw, children))[1]
+
+    weight = lambda leaves: sum(leaves.values())
+    for row in hash_tree.descend(frame, "k", tree, "s").collect():
+        region = winner(row["k"], {n: sum(map(weight, inner.values())) for n, inner in tree.items()})
+        rack = winner(row["k"], {n: weight(leaves) for n, leaves in tree[region].items()})
+        assert row["s"] == int(winner(row["k"], {str(n): w for n, w in tree[region][rack].items()}))
+
+
+def test_rows_of_one_id_spread_over_cells(spark):
+    same = spark.range(4000).selectExpr("cast(null as bigint) doc_id", "'x' text")
+    got = hash_tree.assign(same, 4, rows_per_cell=100).collect()
+    assert len({r["shard"] for r in got}) == 1
+    assert sorted(r["slot"] for r in got) == list(range(4000))
+
+
 def test_weightless_trees_and_no_rows(spark):
     with pytest.raises(ValueError):
         hash_tree.descend(spark.range(1).selectExpr("cast(id as string) k"), "k", {"r": {"q": {0: 0.0}}}, "s")
