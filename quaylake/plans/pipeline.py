@@ -21,7 +21,8 @@ from .. import schemas
 from ..operators.dedup import keep_one
 from ..sinks.writers import Lakehouse
 from ..sources import files
-from ..sources.incremental import JDBC_PARTITIONS, SOURCES, Bookmarks, read_jdbc
+from ..sources.incremental import (JDBC_PARTITIONS, OVERLAP, SOURCES, Bookmarks, overlapped,
+                                   read_jdbc, unseen)
 from . import gold, silver
 
 GOLD_MERGES = {
@@ -69,15 +70,17 @@ def _now(run_ts):
 
 def run_dimensions(spark: SparkSession, lake: Lakehouse, url: str, properties: dict,
                    bookmarks: Bookmarks, run_ts, sources=SOURCES,
-                   partitions: int = JDBC_PARTITIONS) -> dict[str, int]:
-    """Incremental load of each relational source; returns rows read per source.
-    Each source is read with `partitions` parallel range queries."""
+                   partitions: int = JDBC_PARTITIONS, overlap=OVERLAP) -> dict[str, int]:
+    """Incremental load of each relational source; returns new rows per source.
+    Each source is read with `partitions` parallel range queries, from `overlap` behind its
+    mark; rows that the bronze table holds with the same time are known."""
     lake.create_all()
     read = {}
     for src in sources:
-        mark = bookmarks.get(src.name)
-        increment = lake.stage(read_jdbc(spark, url, src.name, src.ts_col, mark, properties,
-                                         partitions), f"src-{src.name}")
+        start = overlapped(bookmarks.get(src.name), overlap)
+        found = read_jdbc(spark, url, src.name, src.ts_col, start, properties, partitions)
+        increment = lake.stage(unseen(found, lake.table(src.target), src.key, src.ts_col, start),
+                               f"src-{src.name}")
         if increment.isEmpty():
             read[src.name] = 0
             continue

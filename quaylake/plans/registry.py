@@ -7,6 +7,7 @@ Clock values are fixed so results are reproducible.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -753,6 +754,18 @@ def _incremental_events(spark, sf_dir):
     return incremental.above_mark(events, "ts", marks.get("events"))
 
 
+@query("late_events")
+def _late_events(spark, sf_dir):
+    """Events that a second load finds when some (every seventh) of the first load's time were
+    committed after it: from two days behind the bookmark, less those loaded before."""
+    events = driver.table(spark, sf_dir, "events")
+    marks = incremental.Bookmarks(spark, _workdir(spark, "bookmarks"))
+    loaded = _before(events, "ts", FIRST_EVENT_LOAD).where(F.col("event_id") % 7 != 3)
+    marks.advance("events", loaded, "ts", RUN_TS)
+    start = incremental.overlapped(marks.get("events"), dt.timedelta(days=2))
+    return incremental.unseen(incremental.above_mark(events, "ts", start), loaded, "event_id", "ts", start)
+
+
 AUDIT_GOLD = [
     "fact_sales_summary", "fact_sales_summary_by_country",
     "fact_sales_summary_by_supplier_daily", "fact_sales_summary_by_supplier_monthly",

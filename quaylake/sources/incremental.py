@@ -1,8 +1,11 @@
 """Incremental reads from relational sources with bookmarks.
 
 A bookmark is the highest value of a source's timestamp column that has been
-loaded.  The next run reads only rows strictly above it; the predicate is a
-plain filter, so Spark pushes it into the JDBC query (or the Parquet scan).
+loaded.  The next run reads only rows above it; the predicate is a plain filter,
+so Spark pushes it into the JDBC query (or the Parquet scan).  A transaction may
+commit a row with the mark's own time, or an earlier one, after the mark was
+read: so a window behind the mark is read again, and `unseen` drops the rows
+whose key and time were loaded before.
 The new bookmark is the maximum of the rows actually read — never the clock —
 and is stored only after the load that used them has been written.
 """
@@ -10,7 +13,7 @@ and is stored only after the load that used them has been written.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +51,24 @@ def above_mark(df: DataFrame, ts_col: str, mark) -> DataFrame:
     return df.where(F.col(ts_col) > F.lit(mark).cast(df.schema[ts_col].dataType))
 
 
+#: How far behind its mark a source is read again by default: longer than its transactions last.
+OVERLAP = timedelta(hours=1)
+
+
+def overlapped(mark: datetime | None, overlap: timedelta = OVERLAP) -> datetime | None:
+    """Where the next read starts: `overlap` behind the mark."""
+    return None if mark is None else mark - overlap
+
+
+def unseen(df: DataFrame, loaded: DataFrame, key: str, ts_col: str, start) -> DataFrame:
+    """Rows of `df`, read above `start`, whose (key, time) pair is not in `loaded`.  Of `loaded`
+    only the pairs above `start` are compared; a row without a key or time counts as not loaded."""
+    if start is None:
+        return df
+    known = above_mark(loaded.select(key, ts_col), ts_col, start)
+    return df.join(known, [key, ts_col], "left_anti").select(*df.columns)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, ts_col: str, mark=None,
               properties: dict | None = None, partitions: int = JDBC_PARTITIONS) -> DataFrame:
     """Incremental JDBC read.
@@ -113,11 +134,11 @@ class Bookmarks:
         return row["m"] if row else None
 
     def advance(self, source: str, increment: DataFrame, ts_col: str, run_ts) -> datetime | None:
-        """Store max(ts_col) of the loaded increment as the new mark.
+        """Store max(ts_col) of the loaded increment as the new mark, which never goes back.
         Call after the increment's writes have succeeded."""
-        new = increment.agg(F.max(ts_col).alias("m")).first()["m"]
-        if new is None:
-            return self.get(source)
+        new, mark = increment.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("m")).first()["m"], self.get(source)
+        if new is None or (mark is not None and new <= mark):
+            return mark
         versions, old = self._versions(), self._read()
         row = self.spark.createDataFrame(
             [(source, new, datetime.fromisoformat(str(run_ts)))], BOOKMARK_DDL)
