@@ -18,88 +18,101 @@ one token at least.  Repeated rows are packed one by one.
 from __future__ import annotations
 
 import os
+import re
 import string
-import struct
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quaylake.llm.common import PieceCache
 from quaylake.llm.pretokens import byte_of_character
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 CAPACITY = 4096
+_ID = "<u4"
 _ID_BYTES = 4
 _FLUSH = 20_000
-_MEMO = 150_000                 # remembered chunks and words, in each of two generations
-#: ASCII marks that close a word; the apostrophe opens contractions and is none.
-_MARKS = "".join(c for c in string.punctuation if c != "'")
-
-
-def _packed(ids: Iterable[int]) -> bytes:
-    ids = tuple(ids)
-    return struct.pack(f"<{len(ids)}I", *ids)
+_SLICE = 16 << 20               # bytes of texts encoded at once (a longer text: alone)
+#: A word of letters and the ASCII marks that close it; the apostrophe opens contractions and
+#: is no closing mark.
+_WORD_AND_MARKS = (r"^(?P<word>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+)"
+                   "(?P<marks>[" + re.escape("".join(c for c in string.punctuation if c != "'")) + r"]*)\z")
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, memoised by white-space-separated chunk.
+    """Ids of whole texts by the tokenizers library, a slice of texts at a time.
 
     Holds for byte-level tokenizers that drop white space, split at it and between letters and
-    other marks, and lower-case (checked on loading): then a chunk's ids do not depend on its
-    neighbours.  A chunk of letters up to U+017F and closing marks is a lower-cased word, given
-    to the library's merges directly, and its marks; there normal forms change nothing.  Any
-    other chunk is given to the library as it stands."""
+    other marks, and lower-case (checked on loading): then a chunk between white space has the
+    ids it has alone.  A slice's texts are cut into chunks and each distinct one is encoded
+    once.  A chunk of letters up to U+017F (without U+0130, whose lower case has two
+    characters) and closing marks is a lower-cased word, given to the library's merges
+    directly, and its marks; there normal forms change nothing.  Any other chunk, and every
+    distinct run of marks, is given to the library as it stands."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # tasks run side by side
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model.tokenize
-        self.bytes = {byte: character for character, byte in byte_of_character().items()}
-        self.marks: dict[str, bytes] = {"": b""}
-        self.words = PieceCache(lambda words: [self._ids_of_word(w) for w in words], _MEMO)
-        self.cache = PieceCache(self._fill, _MEMO)
-        for probe in ("a b", "a\n b", "don't, x9 <|endoftext|> 'll", "Été, Straße;\t(ÑANDÚ) ĲŒ... #a#!"):
-            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
-            if self.packed(probe) != _packed(whole):
+        self.characters = {byte: character for character, byte in byte_of_character().items()}
+        probes = ["a b", "a\n b", "don't, x9 <|endoftext|> 'll", "", " É ",
+                  "Été, Straße;\t(ÑANDÚ) ĲŒ... #a#!", "İ ª ŉ ſ İstanbul, a.b. x"]
+        for probe, ids in zip(probes, self.encoded(pa.array(probes))):
+            if ids.tolist() != self.tokenizer.encode(probe, add_special_tokens=False).ids:
                 raise ValueError("chunks between white space are not independent")
 
-    def _ids_of_word(self, word: str) -> bytes:
-        return _packed(t.id for t in self.merges(word.encode().decode("latin-1").translate(self.bytes)))
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _fill(self, chunks: list[bytes]) -> list[bytes]:
-        parts, words, others = [], set(), []
-        for chunk in chunks:
-            text = chunk.decode()
-            word = text.rstrip(_MARKS)
-            lower = word.lower()
-            if word.isalpha() and max(word) <= "\u017f" and lower.isalpha():
-                marks = text[len(word):]
-                if marks not in self.marks:
-                    if len(self.marks) > _FLUSH:
-                        self.marks = {"": b""}
-                    self.marks[marks] = self._library([marks])[0]
-                parts.append((lower, self.marks[marks]))
-                words.add(lower)
-            else:
-                parts.append(None)
-                others.append(text)
-        known, rest = self.words.table(words), iter(self._library(others))
-        return [next(rest) if part is None else known[part[0]] + part[1] for part in parts]
-
-    def packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        chunks = text.encode().split()      # at ASCII white space
-        return b"".join(map(self.cache.table(chunks).__getitem__, chunks))
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, _ID) for e in
+                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of lower-cased words one after the other, and how many each has."""
+        ids, lengths = array("I"), []
+        for word in words:
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.characters)
+            found = self.merges(word)
+            ids.extend([token.id for token in found])
+            lengths.append(len(found))
+        return np.array(ids, _ID), np.array(lengths, np.int64)
+
+    def encoded(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (no nulls) as little-endian unsigned 32-bit integers."""
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        parts = pc.extract_regex(chunks.dictionary, _WORD_AND_MARKS)
+        plain = pc.is_valid(parts).to_numpy(zero_copy_only=False)
+        words = pc.utf8_lower(parts.field(0).filter(plain)).dictionary_encode()
+        marks = parts.field(1).filter(plain).dictionary_encode()
+        others = chunks.dictionary.filter(~plain).to_pylist()
+        word_ids, word_lengths = self._words(words.dictionary.to_pylist())
+        rest = self._library([*others, *marks.dictionary.to_pylist()])
+        # Entries: the words, the other chunks, the runs of marks, and the empty one.
+        ids = np.concatenate([word_ids, *rest])
+        lengths = np.concatenate([word_lengths, [len(r) for r in rest], [0]]).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        n_words, n_others = len(words.dictionary), len(others)
+        of_chunk = np.full((len(plain), 2), len(lengths) - 1)
+        of_chunk[plain, 0] = words.indices.to_numpy()
+        of_chunk[plain, 1] = marks.indices.to_numpy() + n_words + n_others
+        of_chunk[~plain, 0] = n_words + np.arange(n_others)
+        # The entries of the texts in order, and from them the ids.
+        entries = of_chunk[chunks.indices.to_numpy()]
+        taken = lengths[entries]
+        first = np.concatenate([[0], np.cumsum(taken.sum(axis=1))])
+        at = np.cumsum(taken.ravel()) - taken.ravel()
+        flat = ids[np.repeat(starts[entries.ravel()] - at, taken.ravel()) + np.arange(first[-1])]
+        edges = first[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [flat[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -111,6 +124,17 @@ def word_encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def slices(batch: pa.RecordBatch, size: int = _SLICE) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows whose texts (column 1) hold `size` bytes, or one row that holds more."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def cut_lengths(tokens: int, capacity: int, slack: float) -> list[tuple[int, int]]:
     """(class, length) of the pieces of a document, in order; the lengths add up to `tokens`."""
     pieces = [(1, capacity)] * (tokens // capacity)
@@ -199,10 +223,11 @@ def pack(df: DataFrame, path: str, separator: int = 2, capacity: int = CAPACITY,
             if encoder is None and batch.num_rows:
                 encoder = word_encoder(path)
                 packer = Packer(TaskContext.get().partitionId() << 32, capacity, slack)
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                packer.add(doc_id.as_py(), encoder.packed(text.as_py()) + end)
-                if len(packer.rows) >= _FLUSH:
-                    yield packer.take_rows()
+            for part in slices(batch):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encoded(part.column(1))):
+                    packer.add(doc_id, ids.tobytes() + end)
+                    if len(packer.rows) >= _FLUSH:
+                        yield packer.take_rows()
         if packer is not None:
             packer.finish()
             yield packer.take_rows()
