@@ -23,23 +23,9 @@ from ..sinks.writers import Lakehouse
 from ..sources import files
 from ..sources.incremental import (JDBC_PARTITIONS, OVERLAP, SOURCES, Bookmarks, overlapped,
                                    read_jdbc, unseen)
-from . import gold, silver
-
-GOLD_MERGES = {
-    # table -> (function, keys, measures updated on a match)
-    "gold.fact_sales_summary": (
-        lambda s, d, t: gold.sales_summary(s),
-        ["customer_name", "product_name", "supplier_name", "warehouse_name", "sale_date"],
-        ["total_quantity_sold", "total_sales_amount", "total_tax_collected"]),
-    "gold.fact_sales_summary_by_country": (
-        lambda s, d, t: gold.sales_by_country(s, t), ["country"], None),
-    "gold.fact_sales_summary_by_supplier_daily": (
-        lambda s, d, t: gold.sales_by_supplier_daily(s, t), ["sales_date", "supplier_id"],
-        ["total_sales_amount", "total_quantity_sold", "total_orders", "last_updated"]),
-    "gold.fact_sales_summary_by_supplier_monthly": (
-        lambda s, d, t: gold.sales_by_supplier_monthly(s, t), ["sales_month", "supplier_id"],
-        ["total_sales_amount", "total_quantity_sold", "total_orders", "last_updated"]),
-}
+from . import gold, refresh, silver
+from .refresh import GOLD_MERGES  # noqa: F401
+
 DAILY_REPORTS = {
     "gold.late_deliveries_daily": lambda s, d: gold.late_deliveries(s, d),
     "gold.inventory_overstock_inactive": lambda s, d: gold.overstock_inactive(s, d),
@@ -96,11 +82,11 @@ def _load_dimension(lake: Lakehouse, name: str, increment: DataFrame, run_ts) ->
     now = _now(run_ts)
     stamps = {"created_at": now, "updated_at": now}
     if name == "Customer":
-        lake.merge_scd2("silver.dim_customer", silver.transform_customer(increment, run_ts),
-                        "customer_id", silver.CUSTOMER_COMPARE, run_ts)
+        dim = silver.transform_customer(increment, run_ts)
+        lake.merge_scd2("silver.dim_customer", dim, "customer_id", silver.CUSTOMER_COMPARE, run_ts)
     elif name == "Supplier":
-        lake.merge_scd2("silver.dim_supplier", silver.transform_supplier(increment, run_ts),
-                        "supplier_id", silver.SUPPLIER_COMPARE, run_ts)
+        dim = silver.transform_supplier(increment, run_ts)
+        lake.merge_scd2("silver.dim_supplier", dim, "supplier_id", silver.SUPPLIER_COMPARE, run_ts)
     elif name == "Product":
         dim = silver.transform_product(increment, run_ts)
         lake.merge("silver.dim_product", dim, ["product_id"],
@@ -113,6 +99,10 @@ def _load_dimension(lake: Lakehouse, name: str, increment: DataFrame, run_ts) ->
                    update_cols=[c for c in dim.columns if c != "created_at"],
                    update_exprs={"updated_at": now}, insert_exprs=stamps,
                    check_duplicates=False)
+    else:
+        raise ValueError(f"no dimension is loaded from {name}")
+    table = f"dim_{name.lower()}"
+    refresh.note(lake, table, refresh.DIMENSION_KEYS[table], dim)
 
 
 # --- 2. facts ---------------------------------------------------------------------
@@ -172,6 +162,7 @@ def load_drop_lines(spark: SparkSession, lake: Lakehouse, lines: DataFrame, land
         lake.replace("silver.order_rejects", rejects)
         fact = silver.fact_sales_order(silver.valid_orders(flagged))
         lake.merge("silver.fact_sales_order", fact, silver.ORDER_KEYS, check_duplicates=False)
+        refresh.note(lake, refresh.ORDERS, "createddate", silver.valid_orders(flagged))
         lake.publish_upsert("mart.fact_sales_order", fact, silver.ORDER_KEYS)
 
     def landed_json(kind, ddl):
@@ -213,15 +204,14 @@ def silver_tables(lake: Lakehouse) -> silver.Silver:
 
 
 def run_gold(spark: SparkSession, lake: Lakehouse, run_date, run_ts,
-             idle_run_date=None, workers: int = 4) -> None:
-    """All gold tables for one run; reports are reloaded for `run_date`.
+             idle_run_date=None, workers: int = 4, full: bool = False) -> None:
+    """All gold tables for one run; reports are reloaded for `run_date`, the sales summaries
+    recomputed where the loads since the last run changed rows (`full`: everywhere).
     The tables are independent and written by `workers` concurrent jobs."""
     lake.create_all()
     s = silver_tables(lake)
-    tasks = []
-    for table, (build, keys, measures) in GOLD_MERGES.items():
-        tasks.append(lambda t=table, b=build, k=keys, m=measures: lake.merge(
-            t, b(s, run_date, run_ts), k, update_cols=m, null_safe_keys=True))
+    sales = refresh.Refresh(lake, s, run_date, run_ts, full=full)
+    tasks = list(sales.merges)
     tasks.append(lambda: lake.merge("gold.fact_supply_chain_summary", gold.supply_chain_summary(s),
                                     ["salesordernumber"], check_duplicates=False))
     tasks.append(lambda: lake.rebuild("gold.fact_shipping_performance",
@@ -237,6 +227,7 @@ def run_gold(spark: SparkSession, lake: Lakehouse, run_date, run_ts,
     for table, build in DAILY_REPORTS.items():
         tasks.append(lambda t=table, b=build: report(t, b))
     _run_all(tasks, workers)
+    sales.done()
 
 
 def _run_all(tasks, workers: int) -> None:

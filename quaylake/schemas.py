@@ -203,6 +203,9 @@ BUCKETS = {
     "silver.dim_warehouse": ["warehouse_id"],
     "silver.fact_inventory": ["product_id", "warehouse_id"],
     "silver.fact_shipments": ["salesordernumber"],
+    "gold.fact_sales_summary": ["sale_date"],
+    "gold.fact_sales_summary_by_supplier_daily": ["sales_date"],
+    "gold.fact_sales_summary_by_supplier_monthly": ["sales_month"],
     "gold.fact_supply_chain_summary": ["salesordernumber"],
     "mart.fact_inventory": ["product_id", "warehouse_id"],
     "mart.fact_shipments": ["salesordernumber"],

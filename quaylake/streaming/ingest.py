@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.merge import upsert
-from ..plans import pipeline, silver
+from ..plans import pipeline, refresh, silver
 from ..sinks.writers import Lakehouse
 from ..sources import files
 
@@ -43,6 +43,8 @@ def upsert_orders_batch(lake: Lakehouse, table: str):
         clean = staged.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
         fact = silver.fact_sales_order(silver.valid_orders(silver.flag_orders(clean)))
         lake.merge(table, fact, silver.ORDER_KEYS, check_duplicates=False)
+        if table == f"silver.{refresh.ORDERS}":
+            refresh.note(lake, refresh.ORDERS, "createddate", fact)
 
     return run
 
