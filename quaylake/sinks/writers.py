@@ -217,14 +217,20 @@ class Lakehouse:
         folder, parts = self._version_folder(name), self.partition_columns(name)
         (self._distribute(name, rows).write.option("maxRecordsPerFile", 0).partitionBy(*parts).parquet(folder))
         fs, _ = self._folder(folder)
+        known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect()}
+        added = []
         for value in values:
             spec = ", ".join(f"{c} = {_literal(v)}" for c, v in zip(parts, value))
-            where = f"{folder}/" + "/".join(f"{c}={_written(v)}" for c, v in zip(parts, value))
+            part = "/".join(f"{c}={_written(v)}" for c, v in zip(parts, value))
+            where = f"{folder}/{part}"
             if not fs.exists(self._folder(where)[1]):       # no row is left in it
                 fs.mkdirs(self._folder(where)[1])
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD IF NOT EXISTS PARTITION ({spec}) "
-                           f"LOCATION '{where}'")
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} PARTITION ({spec}) SET LOCATION '{where}'")
+            if part in known:
+                self.spark.sql(f"ALTER TABLE {self.qualified(name)} PARTITION ({spec}) SET LOCATION '{where}'")
+            else:
+                added.append(f"PARTITION ({spec}) LOCATION '{where}'")
+        if added:       # new partitions appear together
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD {' '.join(added)}")
         self.spark.catalog.refreshTable(self.qualified(name))
 
     def vacuum(self, name: str, keep_seconds: float = 7 * 86_400) -> int:
