@@ -54,6 +54,16 @@ def test_null_safe_keys_are_told_from_their_stand_ins(spark):
             source.where("k = 'x'")).selectExpr("string(day) day", "k", "v"), ["day", "k"], null_safe_keys=True).collect()
 
 
+def test_lines_are_shuffled_once_for_products_and_stock(spark):
+    s = registry._staged_silver(spark, SF001)
+    with unbroadcast(spark):
+        text = gold.supply_chain_summary(s)._jdf.queryExecution().executedPlan().toString()
+    # The stock's text key is met by the products, not by the lines.
+    below = text.split("Exchange hashpartitioning(cast(product_id")
+    assert len(below) == 2
+    assert "product_name" in below[1].split("FileScan parquet [")[1].split("]")[0]
+
+
 def test_supplier_sums_shuffle_the_lines_once(spark):
     s = registry._staged_silver(spark, SF001, names=["fact_sales_order", "dim_supplier"])
     with unbroadcast(spark):
