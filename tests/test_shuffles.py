@@ -70,3 +70,13 @@ def test_supplier_sums_shuffle_the_lines_once(spark):
         found = exchanges(gold.sales_by_supplier_daily(s, registry.RUN_TS))
     assert len([x for x in found if x.startswith("sales_date")]) == 1
     assert len(found) == 3      # both sides of the join with the suppliers; the groups
+
+
+def test_loads_of_the_wide_summary_share_their_lines(spark):
+    s = registry._staged_silver(spark, SF001)
+    lines = gold.supply_chain_lines(s)
+    earlier = silver.Silver(**{**s.tables(), "fact_sales_order": registry._before(
+        s.fact_sales_order, "createddate", registry.LOAD_CUTOFF)})
+    for part, load in ((registry._before(lines, "createddate", registry.LOAD_CUTOFF), earlier), (lines, s)):
+        got = rows(gold.one_per_order(part, s.fact_shipments))
+        assert got and got == rows(gold.supply_chain_summary(load))
