@@ -80,3 +80,39 @@ def test_loads_of_the_wide_summary_share_their_lines(spark):
     for part, load in ((registry._before(lines, "createddate", registry.LOAD_CUTOFF), earlier), (lines, s)):
         got = rows(gold.one_per_order(part, s.fact_shipments))
         assert got and got == rows(gold.supply_chain_summary(load))
+
+
+def _some_dims(s):
+    """Silver where some lines miss a dimension, and some dimension rows have no name."""
+    return silver.Silver(**{
+        **s.tables(), "dim_customer": s.dim_customer.where("customer_id % 5 <> 1").selectExpr(
+            *[c for c in s.dim_customer.columns if c != "customer_name"],
+            "if(customer_id % 5 = 2, null, customer_name) customer_name").select(*s.dim_customer.columns),
+        "dim_product": s.dim_product.where("product_id % 7 <> 3"),
+        "dim_supplier": s.dim_supplier.where("supplier_id <> '4'"),
+        "dim_warehouse": s.dim_warehouse.where("warehouse_id <> '2'")})
+
+
+def test_wide_reports_share_the_lines_joined_with_dimensions(spark):
+    s = registry._staged_silver(spark, SF001)
+    for case in (s, _some_dims(s)):
+        lines = gold.named_lines(case)
+        for report in (gold.sales_summary, gold.supply_chain_summary):
+            got = report(case, lines=lines)
+            assert got.dtypes == report(case).dtypes
+            assert rows(got) and rows(got) == rows(report(case))
+
+
+def test_reports_of_an_audit_do_not_shuffle_lines_for_dimensions(spark):
+    s = registry._staged_silver(spark, SF001)
+    lines = registry._lake(spark, "lines").stage(gold.named_lines(s))
+    with unbroadcast(spark):
+        found = registry.gold_tables(s, lines=lines)
+        assert len(exchanges(found["fact_sales_summary"])) == 1         # the groups
+        assert len(exchanges(found["fact_supply_chain_summary"])) == 2  # the orders: lines and shipments
+
+
+def test_shipping_costs_shuffle_the_shipments_once(spark):
+    s = registry._staged_silver(spark, SF001, names=["fact_shipments"])
+    with unbroadcast(spark):
+        assert len(exchanges(gold.high_shipping_orders(s, registry.RUN_DATE))) == 1
