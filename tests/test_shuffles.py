@@ -5,6 +5,7 @@ import contextlib
 import pytest
 
 from conftest import SF001, rows
+from quaylake.operators.dedup import keep_one
 from quaylake.operators.merge import DUPLICATE_ERROR, upsert
 from quaylake.plans import gold, registry, silver
 
@@ -116,3 +117,23 @@ def test_shipping_costs_shuffle_the_shipments_once(spark):
     s = registry._staged_silver(spark, SF001, names=["fact_shipments"])
     with unbroadcast(spark):
         assert len(exchanges(gold.high_shipping_orders(s, registry.RUN_DATE))) == 1
+
+
+def test_rows_are_cut_to_the_columns_that_decide(spark):
+    """Ties in every column but the last, NULLs among them: the same values as of the whole rows."""
+    rnd = spark.sql("""select int(hash(id, 1) % 7) k, if(id % 5 = 0, null, int(hash(id, 2) % 3)) t, int(hash(id, 3) % 2) a,
+                       if(id % 11 = 0, null, int(hash(id, 4) % 2)) b, int(hash(id, 5) % 2) c from range(400)""").localCheckpoint()
+    for wanted in (["k"], ["k", "t"], ["b", "k"], ["k", "c", "a"]):
+        whole = keep_one(rnd, ["k"], ["t DESC"]).select(*wanted)
+        cut = keep_one(rnd, ["k"], ["t DESC"], columns=wanted)
+        assert cut.columns == wanted and rows(cut) == rows(whole)
+
+
+def test_the_wide_summary_shuffles_no_more_of_shipments_than_it_needs(spark):
+    for build in (registry._silver, registry._many_warehouses):
+        whole, cut = build(spark, SF001), build(spark, SF001, gold.SUPPLY_CHAIN_FACTS)
+        for name, columns in gold.SUPPLY_CHAIN_FACTS.items():
+            assert rows(getattr(cut, name)) == rows(getattr(whole, name).select(*columns))
+    for name in ("supply_chain_summary", "supply_chain_summary_warehouses"):
+        plan = registry.QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert "shipping_cost" not in plan and "unit_cost" not in plan
