@@ -160,10 +160,10 @@ def load_drop_lines(spark: SparkSession, lake: Lakehouse, lines: DataFrame, land
             ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rejects.schema)
             lake.create_table("silver.order_rejects", ddl, ["batch"])
         lake.replace("silver.order_rejects", rejects)
-        fact = silver.fact_sales_order(silver.valid_orders(flagged))
-        lake.merge("silver.fact_sales_order", fact, silver.ORDER_KEYS, check_duplicates=False)
+        fact = lake.stage(silver.fact_sales_order(silver.valid_orders(flagged)), "orders-fact")
+        lake.merge("silver.fact_sales_order", fact, silver.ORDER_KEYS, staged=True, check_duplicates=False)
         refresh.note(lake, refresh.ORDERS, "createddate", silver.valid_orders(flagged))
-        lake.publish_upsert("mart.fact_sales_order", fact, silver.ORDER_KEYS)
+        lake.publish_upsert("mart.fact_sales_order", fact, silver.ORDER_KEYS, staged=True)
 
     def landed_json(kind, ddl):
         layouts = {r["layout"] for r in present if r["kind"] == kind}
@@ -172,18 +172,19 @@ def load_drop_lines(spark: SparkSession, lake: Lakehouse, lines: DataFrame, land
 
     def load_inventory():
         raw = landed_json("inventory", schemas.INVENTORY_JSON)
-        inv = silver.fact_inventory(raw)
-        lake.merge("silver.fact_inventory", inv, silver.INVENTORY_KEYS, check_duplicates=False)
+        inv = lake.stage(silver.fact_inventory(raw), "inventory-fact")
+        lake.merge("silver.fact_inventory", inv, silver.INVENTORY_KEYS, staged=True, check_duplicates=False)
         lake.publish_upsert("mart.fact_inventory", inv.withColumn(
-            "last_movement_date", F.try_to_date("last_movement_date")), silver.INVENTORY_KEYS)
+            "last_movement_date", F.try_to_date("last_movement_date")), silver.INVENTORY_KEYS, staged=True)
 
     def load_shipments():
         raw = landed_json("shipment", schemas.SHIPMENT_JSON)
-        ship = silver.fact_shipments(raw)
-        lake.merge("silver.fact_shipments", ship, silver.SHIPMENT_KEYS, check_duplicates=False)
+        # Read and reduced once for both tables.
+        ship = lake.stage(silver.fact_shipments(raw), "shipments-fact")
+        lake.merge("silver.fact_shipments", ship, silver.SHIPMENT_KEYS, staged=True, check_duplicates=False)
         lake.publish_upsert("mart.fact_shipments", ship.withColumn(
             "promised_delivery_date", F.try_to_date("promised_delivery_date")),
-            silver.SHIPMENT_KEYS)
+            silver.SHIPMENT_KEYS, staged=True)
 
     # The three facts are independent: loaded as concurrent jobs, each only if
     # its kind arrived.  Then the dimensions are copied to the mart.

@@ -1,0 +1,54 @@
+"""How much work the steps of a drop's load take."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from quaylake.plans import pipeline, registry, silver
+from quaylake.sinks.writers import Lakehouse
+from quaylake.sources import files
+from quaylake.session import DEFAULTS
+from conftest import SF001
+
+
+def test_shipments_are_read_and_reduced_once_a_load(spark, workdir, monkeypatch):
+    """One reading of the landed files serves the silver and the mart table, and what is stored
+    is not written again to be merged."""
+    seen, written = [], []
+    read, staged = files.read_landed_json, Lakehouse._staged
+    monkeypatch.setattr(files, "read_landed_json", lambda *a: read(*a).withColumn(
+        "shipment_id", F.udf(lambda x: x)("shipment_id")))
+    monkeypatch.setattr(Lakehouse, "_staged", lambda self, df, label: (
+        written.append(label), seen.append("BatchEvalPython" in df._jdf.queryExecution().executedPlan().toString()),
+        staged(self, df, label))[2])
+    lake = Lakehouse(spark, f"{workdir}/lake", prefix="once_", buckets=4)
+    lake.create_all()
+    ships = registry.driver.shipment_events(spark, SF001)
+    files.write_drops(ships, f"{workdir}/drops", "shipment", "json", "lines").count()
+    pipeline.load_drop_lines(spark, lake, files.extract_archives(spark, f"{workdir}/drops"), f"{workdir}/landing",
+                             registry.RUN_TS, "b1")
+    assert sum(seen) == 1 and [x for x in written if "ship" in x or "publish" in x] == ["shipments-fact"]
+    want = silver.fact_shipments(ships).count()
+    assert want == lake.table("silver.fact_shipments").count() == lake.table("mart.fact_shipments").count()
+
+
+def test_json_lines_are_parsed_once(spark, workdir):
+    """A line that is not as declared is no malformed one; an array, or what is no JSON, is."""
+    def read(*lines):
+        with open(f"{workdir}/x.json", "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        return files.read_json_lines(spark, f"{workdir}/x.json", "a bigint, b string")
+
+    got = read('{"a": 1, "b": "x"}', ' {"a": 2}', "", '{"a": "two", "b": "y", "c": 3}', '{"b": {"d": 1}}')
+    assert got.columns == ["a", "b"]
+    assert [tuple(r) for r in got.collect()] == [(1, "x"), (2, None), (None, "y"), (None, '{"d":1}')]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1, "computed by the generator alone"
+    assert got.select("b").count() == 4
+    for bad in ('[{"a": 1}]', '{"a": 1', "7", '{"a": 1}\n{'):
+        with pytest.raises(Exception, match="malformed JSON line"):
+            read('{"a": 1}', bad).collect()
+
+
+def test_a_task_reads_a_bounded_share(spark):
+    assert DEFAULTS["spark.sql.files.maxPartitionBytes"] == "8m"
+    assert files.GROUP_BYTES <= 32 << 20
